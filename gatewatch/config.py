@@ -135,9 +135,8 @@ class StreamConfig:
     trigger_seconds: int = 30
     trigger_once: bool = False
     watermark: str = "5 minutes"
-    # Host-hash ranges the per-user state is split into, so that one very busy user
-    # is handled by several tasks.
-    state_splits: int = 32
+    # Shards of the first-seen state; fixed once a checkpoint exists.
+    state_shards: int = 256
     state_ttl: str | None = None
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None

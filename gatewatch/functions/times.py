@@ -63,3 +63,9 @@ def within_days(start, end, time: str = "event_time", day: str = "event_date") -
         & (F.col(day) >= F.date_format(first, DAY_FORMAT))
         & (F.col(day) <= F.date_format(last, DAY_FORMAT))
     )
+
+
+def before_day(end, time: str = "event_time", day: str = "event_date") -> Column:
+    """Everything before ``end``, with the day partition bounded as well."""
+    last = F.lit(end).cast("timestamp")
+    return (F.col(time) < last) & (F.col(day) <= F.date_format(last, DAY_FORMAT))

@@ -28,6 +28,17 @@ PAYLOAD = _struct(
     ("ingestion_time", StringType()),
 )
 
+# A normalised event.
+EVENTS = _struct(
+    ("event_time", TimestampType()),
+    ("user_id", StringType()),
+    ("src_host", StringType()),
+    ("computer_id", StringType()),
+    ("success", BooleanType()),
+    ("event_id", StringType()),
+)
+
+# Columns of the raw table that readers can rely on.
 RAW = _struct(
     ("event_time", TimestampType()),
     ("user_id", StringType()),
@@ -36,6 +47,14 @@ RAW = _struct(
     ("event_date", StringType()),
 )
 
+# All the raw table stores, so that curated events can be rebuilt from it. Files written
+# by other producers may lack the additional columns; they then read as NULL.
+RAW_STORED = _struct(
+    *((f.name, f.dataType) for f in EVENTS),
+    ("is_new_device", BooleanType()),
+    ("event_date", StringType()),
+)
+
 CURATED = _struct(
     ("event_time", TimestampType()),
     ("user_id", StringType()),

@@ -16,5 +16,11 @@ def auth_events(activity: DataFrame) -> DataFrame:
     )
 
 
+def between(activity: DataFrame, start, end) -> DataFrame:
+    """Rows of ``[start, end)``, compared without a zone so that Parquet can skip row groups."""
+    first, last = (F.lit(str(bound)).cast("timestamp_ntz") for bound in (start, end))
+    return activity.filter((F.col("ts") >= first) & (F.col("ts") < last))
+
+
 def read_auth_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return auth_events(spark.read.parquet(f"{sf_dir}/events.parquet"))

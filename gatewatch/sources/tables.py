@@ -17,6 +17,11 @@ def raw_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
     return read_table(spark, tables.raw, schemas.RAW)
 
 
+def stored_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
+    """The raw table with every column it stores, as input for a rebuild."""
+    return read_table(spark, tables.raw, schemas.RAW_STORED)
+
+
 def curated_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
     return read_table(spark, tables.curated, schemas.CURATED)
 
