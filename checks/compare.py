@@ -22,6 +22,9 @@ def session(cpus: str = "8", memory: str = "12g") -> SparkSession:
         .config("spark.ui.enabled", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.session.timeZone", "UTC")
+        # Small inputs: keep stages parallel, and build plans without call-site tracking.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")

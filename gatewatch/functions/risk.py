@@ -62,8 +62,8 @@ def detect_new_device_spike(has_new_device, window_24h_unique_hosts, threshold:
 
 def fired_flags(rules: Mapping[str, Column]) -> Column:
     """Names of the rules that hold, in the mapping's order; empty array if none."""
-    named = [F.when(held, F.lit(name)) for name, held in rules.items()]
-    return F.array_compact(F.array(*named))
+    named = [F.when(held, F.lit(name)).otherwise(F.lit("")) for name, held in rules.items()]
+    return F.array_remove(F.array(*named), "")
 
 
 def fired_weight(rules: Mapping[str, Column], weights: Mapping[str, int]) -> Column:
@@ -159,9 +159,9 @@ def register_risk_functions(spark: SparkSession, cfg=None) -> None:
     }
     weights = _weights(cfg)
     score = " + ".join(f"if({test}, {int(weights[name])}, 0)" for name, test in tests.items())
-    flags = ", ".join(f"if({test}, '{name}', NULL)" for name, test in tests.items())
+    flags = ", ".join(f"if({test}, '{name}', '')" for name, test in tests.items())
     for name, returns, body in (
         ("risk_score", "INT", score),
-        ("risk_flags", "ARRAY<STRING>", f"array_compact(array({flags}))"),
+        ("risk_flags", "ARRAY<STRING>", f"array_remove(array({flags}), '')"),
     ):
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}({_SQL_ARGS}) RETURNS {returns} RETURN {body}")

@@ -225,23 +225,20 @@ def features_at_events(
             occupied.alias("occupied"),
         )
 
-    changes = F.array_compact(
-        F.array(
-            change(here, F.col("n"), enters, new, zero, F.lit(1).cast("long")),
-            change(here + hour.steps, -F.col("n"), -leaves, -new, zero, zero),
-            F.when(
-                opens & (day_enters == 1), change(day_slot * ratio, zero, zero, zero, F.lit(1).cast("long"), zero)
-            ),
-            F.when(
-                closes & (day_leaves == 1),
-                change((day_slot + day.steps) * ratio, zero, zero, zero, F.lit(-1).cast("long"), zero),
-            ),
-        )
+    # All four rows are written out and empty ones filtered, which keeps this generated
+    # code; filtering the array itself would not.
+    one = F.lit(1).cast("long")
+    changes = F.array(
+        change(here, F.col("n"), enters, new, zero, one),
+        change(here + hour.steps, -F.col("n"), -leaves, -new, zero, zero),
+        change(F.when(opens & (day_enters == 1), day_slot * ratio), zero, zero, zero, one, zero),
+        change(F.when(closes & (day_leaves == 1), (day_slot + day.steps) * ratio), zero, zero, zero, -one, zero),
     )
     values = ["event_count", "unique_hosts", "new_hosts", "day_hosts"]
     points = (
         _pair_slots(events, hour.slide, history)
         .select("user_id", F.inline(changes))
+        .filter(F.col("slot").isNotNull())
         .groupBy("user_id", "slot")
         .agg(*[F.sum(v).alias(v) for v in values], F.max("occupied").alias("occupied"))
     )

@@ -13,16 +13,21 @@ def stream_window(flagged: DataFrame, hop: HopSpec) -> DataFrame:
     """Features of closed windows, with the window struct kept for time-bounded joins.
 
     Streams reject a distinct count. Counting per host first and then hosts per user is
-    exact, and no state row ever holds a set of hosts.
+    exact, and no state row ever holds a set of hosts. ``ends_busy`` tells whether the
+    user has events in the window's last slide.
     """
     span = F.window("event_time", f"{hop.duration} seconds", f"{hop.slide} seconds")
-    per_host = flagged.groupBy(span.alias("w"), "user_id", "computer_id").agg(
-        F.count(F.lit(1)).alias("n"), F.max("is_new_device").alias("is_new")
+    late = F.col("event_time") >= F.col("w.end") - F.expr(f"INTERVAL {hop.slide} SECONDS")
+    per_host = (
+        flagged.select("event_time", "user_id", "computer_id", "is_new_device", span.alias("w"))
+        .groupBy("w", "user_id", "computer_id")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("is_new_device").alias("is_new"), F.max(late).alias("late"))
     )
     return per_host.groupBy("w", "user_id").agg(
         F.count(F.lit(1)).alias("unique_hosts"),
         F.sum("n").alias("event_count"),
         F.max("is_new").alias("has_new_device"),
+        F.max("late").alias("ends_busy"),
     )
 
 
@@ -50,9 +55,10 @@ def join_window(events: DataFrame, flagged: DataFrame, hop: HopSpec, names: dict
     """Left join with the window that ends with the event's slot.
 
     The range on event time equals "the event lies in the window's last slide"; it is
-    also what lets Spark bound the state of a stream-stream join.
+    also what lets Spark bound the state of a stream-stream join. Windows without events
+    in their last slide match nothing and are left out of that state.
     """
-    side = stream_window(flagged, hop).select(
+    side = stream_window(flagged, hop).filter("ends_busy").select(
         F.window_time("w").alias(f"_end_{hop.label}"),
         F.col("user_id").alias(f"_user_{hop.label}"),
         *[F.col(source).alias(target) for source, target in names.items()],
