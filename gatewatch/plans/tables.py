@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from datetime import date, timedelta
 
-from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from gatewatch import schemas
 from gatewatch.config import TablePaths
@@ -94,6 +93,15 @@ def _drop_partition(spark: SparkSession, path: str) -> None:
         filesystem.delete(folder, True)
 
 
+def _first_file(spark: SparkSession, path: str) -> str | None:
+    """Name of one file below a folder; it carries the id of the job that wrote it."""
+    filesystem, folder = _folder(spark, path)
+    if not filesystem.exists(folder):
+        return None
+    files = filesystem.listFiles(folder, True)
+    return files.next().getPath().getName() if files.hasNext() else None
+
+
 def _require_batch_table(spark: SparkSession, path: str) -> None:
     """A streaming sink lists its files in a log, and readers see only those."""
     filesystem, log = _folder(spark, f"{path}/_spark_metadata")
@@ -118,17 +126,16 @@ def refresh_days(
     """
     spark = df.sparkSession
     _require_batch_table(spark, path)
-    written = Observation()
-    observed = df.observe(written, F.collect_set(F.col("event_date").cast("string")).alias("days"))
+    suffix = "".join(f"/{column}={value}" for column, value in (below or {}).items())
+    owned = [f"{path}/event_date={day.isoformat()}{suffix}" for day in days(start, end)]
+    before = {folder: _first_file(spark, folder) for folder in owned}
     (
-        balanced(observed, partitions)
+        balanced(df, partitions)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)
         .parquet(path)
     )
-    filled = set(written.get["days"])
-    suffix = "".join(f"/{column}={value}" for column, value in (below or {}).items())
-    for day in days(start, end):
-        if day.isoformat() not in filled:
-            _drop_partition(spark, f"{path}/event_date={day.isoformat()}{suffix}")
+    for folder, name in before.items():
+        if name is not None and _first_file(spark, folder) == name:
+            _drop_partition(spark, folder)
