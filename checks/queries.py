@@ -177,11 +177,17 @@ class Inputs:
         files = self.spark.readStream.schema(self.activity.schema).parquet(f"{self.sf_dir}/events.parque[t]")
         return auth_events(files)
 
+    @property
+    def once(self) -> StreamConfig:
+        """Read all there is. State is split by cores unless the session says how."""
+        unset = self.spark.conf.get("spark.sql.shuffle.partitions") == "200"
+        cores = self.spark.sparkContext.defaultParallelism
+        return StreamConfig(trigger_once=True, state_partitions=cores if unset else None)
+
     def drained(self, stream: DataFrame, label: str) -> DataFrame:
         """Run a stream over all there is, into a table in the shared folder."""
         path = scratch_path(self.spark, label)
-        once = StreamConfig(trigger_once=True)
-        query = pipeline.start_sink(stream, f"{path}/table", [], f"{path}/checkpoint", once)
+        query = pipeline.start_sink(stream, f"{path}/table", [], f"{path}/checkpoint", self.once)
         query.awaitTermination()
         return self.spark.read.schema(stream.schema).parquet(f"{path}/table")
 
@@ -300,7 +306,7 @@ def _dq_spoiled(i: Inputs) -> DataFrame:
 def _stored_stream(i: Inputs, label: str) -> PipelineConfig:
     """First stage of the pipeline: flag the events and store them as the raw table."""
     paths = TablePaths(scratch_path(i.spark, label))
-    cfg = PipelineConfig(risk=SCALED.risk, tables=paths, stream=StreamConfig(trigger_once=True))
+    cfg = PipelineConfig(risk=SCALED.risk, tables=paths, stream=i.once)
     flagged = i.flagged_stream().withColumn("event_date", event_date())
     pipeline.start_sink(flagged, paths.raw, ["event_date"], paths.path("checkpoint/raw"), cfg.stream).awaitTermination()
     return cfg

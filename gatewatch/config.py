@@ -137,6 +137,9 @@ class StreamConfig:
     watermark: str = "5 minutes"
     # Shards of the first-seen state; fixed once a checkpoint exists.
     state_shards: int = 256
+    # Shuffle partitions of stateful queries, fixed once a checkpoint exists; the
+    # session's setting if None.
+    state_partitions: int | None = None
     state_ttl: str | None = None
     max_files_per_trigger: int | None = None
     max_bytes_per_trigger: str | None = None
@@ -150,5 +153,3 @@ class PipelineConfig:
     day_hop: HopSpec = DAY_HOP
     stream: StreamConfig = field(default_factory=StreamConfig)
     tables: TablePaths | None = None
-    app_name: str = "gatewatch"
-    shuffle_partitions: int | None = None

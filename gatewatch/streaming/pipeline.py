@@ -7,6 +7,8 @@ state is not repeated for each sink.
 
 from __future__ import annotations
 
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -24,6 +26,7 @@ from gatewatch.streaming.features import stream_enriched, stream_features
 from gatewatch.streaming.firstseen import flag_new_devices_stream
 from gatewatch.streaming.sources import read_payloads, validated_stream
 
+_PARTITIONS = "spark.sql.shuffle.partitions"
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -52,7 +55,20 @@ def start_sink(
         writer = writer.trigger(availableNow=True)
     else:
         writer = writer.trigger(processingTime=f"{cfg.trigger_seconds} seconds")
-    return writer.start()
+    with _state_partitions(df.sparkSession, cfg):
+        return writer.start()
+
+
+@contextmanager
+def _state_partitions(spark: SparkSession, cfg: StreamConfig):
+    """A query takes the session's settings over when it starts."""
+    before = spark.conf.get(_PARTITIONS)
+    if cfg.state_partitions:
+        spark.conf.set(_PARTITIONS, str(cfg.state_partitions))
+    try:
+        yield
+    finally:
+        spark.conf.set(_PARTITIONS, before)
 
 
 def unique_stream(events: DataFrame, watermark: str) -> DataFrame:
