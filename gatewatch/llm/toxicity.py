@@ -1,8 +1,8 @@
 """Toxicity by the nearest labelled examples under exact TF-IDF cosine.
 
 Terms are lower-cased words and their first few bytes, which stand for word families. Of
-all terms of the labelled sample those are kept that speak for or against the label
-(log-likelihood ratio); their document frequencies are counted over all documents. The
+all terms of the labelled sample those are kept that speak for the label (log-likelihood
+ratio and lift); their document frequencies are counted over all documents. The
 examples' weighted terms form an inverted index in blocks of examples with the largest
 weight of each term in each block. A text's bound on a block's cosines is one product;
 blocks are gone through from the highest bound down until no later one can reach the
@@ -24,8 +24,10 @@ from pyspark.sql import functions as F
 from gatewatch.llm.common import bounded_sample, cut, held_out
 from gatewatch.llm.words import Tokens, sequence, signed, slices, span_hashes
 
-#: Most labelled rows to learn from, most terms kept, least log-likelihood ratio of a term, neighbours.
-SAMPLE_ROWS, MOST_TERMS, LEAST_RATIO, NEIGHBOURS = 8_000, 4_000, 15.0, 15
+#: Most labelled rows to learn from, most terms kept, neighbours that vote.
+SAMPLE_ROWS, MOST_TERMS, NEIGHBOURS = 8_000, 4_000, 15
+#: Least log-likelihood ratio of a term, and how many times more often it must occur under the label.
+LEAST_RATIO, LEAST_LIFT = 15.0, 4.0
 PREFIX_BYTES = (4, 5, 6)
 BLOCK = 64
 
@@ -200,17 +202,18 @@ def learn(
     """A model from rows of ``labels`` (``doc_id``, ``label``) that are not held out.
 
     At most about ``sample_rows`` rows are learned from, as many of either label if there
-    are. Without usable labels all texts score 0.
+    are; texts that repeat in it count once. Without usable labels all texts score 0.
     """
     marked = labels.where(F.col(label).isNotNull() & ~held_out("doc_id")).groupBy(F.col("doc_id").alias("label_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     marked = cut(marked)
     totals = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     sample = F.broadcast(cut(bounded_sample(marked, "label_id", sample_rows, "label")))
-    rows = cut(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label"))
+    rows = cut(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label").dropDuplicates(["text", "label"]))
     taken = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     counted = rows.select("text", "label").mapInArrow(_count_by_label, "term long, positive long, negative long")
     counted = counted.groupBy("term").agg(F.sum("positive").alias("a"), F.sum("negative").alias("b")).where("a + b > 1")
     kept = counted.withColumn("ratio", _log_likelihood(taken.get(1, 0), taken.get(0, 0))).where(F.col("ratio") >= LEAST_RATIO)
+    kept = kept.where(F.col("a") * max(taken.get(0, 0), 1) >= F.col("b") * (LEAST_LIFT * max(taken.get(1, 0), 1)))
     terms = kept.orderBy(F.desc("ratio"), "term").limit(most_terms).select("term").toPandas()["term"].to_numpy(np.int64)
     vocabulary = Vocabulary(terms)
     spark = docs.sparkSession
