@@ -14,6 +14,7 @@ from gatewatch.llm import (
     licenses,
     mixing,
     near_dedup,
+    pii,
     quality,
     substring_dedup,
     toxicity,
@@ -46,6 +47,10 @@ def op5_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), percent=85)
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(pii.detect(table(spark, sf_dir, "documents")))
+
+
 def op7_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_exact(table(spark, sf_dir, "documents"))
 
@@ -71,6 +76,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op3_decontamination": op3_decontamination,
         "op4_quality": op4_quality,
         "op5_near_dedup": op5_near_dedup,
+        "op6_pii": op6_pii,
         "op7_exact_dedup": op7_exact_dedup,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_mixing": op9_mixing,
