@@ -4,9 +4,12 @@ A difference cover of a period holds, for any two positions, an offset at which
 stand on cover positions. So two equal passages of ``window`` words share an equal
 anchor: ``window - period + 1`` words that start on a cover position in both. Only
 anchors are hashed and dealt out first (5 of 21 positions for 35 words). Windows around
-repeated anchors are then hashed in full, 128 bits each, and compared in the same way, so
+repeated anchors are then hashed in full, 96 bits each, and compared in the same way, so
 what is removed rests on whole windows.
 
+Of texts that occur whole more than once, one stands for all when it meets others; all
+of them go without being looked at.
+
 A slice of documents sends one row per different hash. Repeats within a slice are known
 there and need no partner, hence a passage in very many documents costs few rows. Equal
 hashes meet by sorting partitions, not by collecting groups.
@@ -30,7 +33,9 @@ from gatewatch.llm.words import Words, mix, signed, slices, text_bytes, window_h
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
 #: Places kept in a task before they are packed by document and handed on.
 PACK = 1 << 20
-_ROWS = "first long, second long, times int, key long, place int"
+_ROWS = "first long, second int, mark byte, key long, place int"
+#: Marks of rows: nothing known, known to repeat, stands for copies (which go whole, so its places are not asked for).
+OPEN, REPEATED, COPIES = 0, 1, 2
 
 
 def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
@@ -39,21 +44,22 @@ def cover_for(window: int) -> tuple[int, tuple[int, ...]]:
     return (max(fit), COVERS[max(fit)]) if fit else (1, (0,))
 
 
-def _rows(first: np.ndarray, second: np.ndarray, keys: np.ndarray, places: np.ndarray, salt: int) -> pa.RecordBatch:
+def _rows(first: np.ndarray, second: np.ndarray, keys: np.ndarray, places: np.ndarray, copies: np.ndarray, salt: int) -> pa.RecordBatch:
     """One row per different hash with its place; further places of a hash get hashes of their own and are marked as repeated."""
     order = np.argsort(first, kind="stable")
-    first, second, keys, places = first[order], second[order], keys[order], places[order]
+    first, second, keys, places, copies = first[order], second[order], keys[order], places[order], copies[order]
     same = np.zeros(len(first), bool)
     same[1:] = (first[1:] == first[:-1]) & (second[1:] == second[:-1])
-    times = np.ones(len(first), np.int32)
-    times[same] = 2
-    times[:-1][same[1:]] = 2
+    marks = np.zeros(len(first), np.int8)
+    marks[same] = REPEATED
+    marks[:-1][same[1:]] = REPEATED
+    marks[copies] = COPIES
     own = np.flatnonzero(same)
     first[own] = mix(first[own] + np.arange(len(own), dtype=np.uint64) + np.uint64(salt))
-    return pa.RecordBatch.from_arrays(
-        [pa.array(signed(first)), pa.array(signed(second)), pa.array(times), pa.array(keys), pa.array(places.astype(np.int32))],
-        names=["first", "second", "times", "key", "place"],
-    )
+    second[own] = 0
+    sent = np.flatnonzero(~(same & copies))
+    columns = [signed(first[sent]), second[sent], marks[sent], keys[sent], places[sent].astype(np.int32)]
+    return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["first", "second", "mark", "key", "place"])
 
 
 def _salt(keys: np.ndarray) -> int:
@@ -73,14 +79,15 @@ def _anchors(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             places = np.arange(len(hashes)) - words.first[texts]
             fit = on_cover[places % period] & (places + size <= words.counts[texts]) & (words.counts[texts] >= window)
             at = np.flatnonzero(fit)
-            yield _rows(hashes[at], np.zeros(len(at), np.uint64), keys[texts[at]], places[at], _salt(keys))
+            none = np.zeros(len(at), np.int32)
+            yield _rows(hashes[at], none, keys[texts[at]], places[at], none > 0, _salt(keys))
 
 
 def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.RecordBatch]:
     """Rows of all windows that hold a repeated anchor."""
     reach = cover_for(window)[0]
     for batch in batches:
-        all_keys = batch.column("key").to_numpy()
+        all_keys, all_copies = batch.column("key").to_numpy(), batch.column("copies").to_numpy(zero_copy_only=False)
         lists = batch.column("places")
         bounds, values = lists.offsets.to_numpy(), lists.values.to_numpy()
         for lo, hi, data, offsets in slices(batch.column("text")):
@@ -100,7 +107,8 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
             if starts:
                 places, texts = np.concatenate(starts), np.concatenate(owners)
                 at = places + words.first[texts]
-                yield _rows(one[at], two[at], keys[texts], places, _salt(keys))
+                second = (two[at] >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                yield _rows(one[at], second, keys[texts], places, all_copies[lo:hi][texts], _salt(keys))
 
 
 def _packed(keys: list[np.ndarray], places: list[np.ndarray]) -> pa.RecordBatch:
@@ -119,25 +127,26 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     places: list[np.ndarray] = []
     total = 0
     for batch in batches:
-        columns = [batch.column(c).to_numpy() for c in ("first", "second", "times", "key", "place")]
+        columns = [batch.column(c).to_numpy() for c in ("first", "second", "mark", "key", "place")]
         if not len(columns[0]):
             continue
         if held is not None:
             columns = [np.concatenate([h, c]) for h, c in zip(held, columns, strict=True)]
-        first, second, times, key, place = columns
-        repeated = times > 1
+        first, second, marks, key, place = columns
+        repeated = marks == REPEATED
         same = (first[1:] == first[:-1]) & (second[1:] == second[:-1])
         repeated[1:] |= same
         repeated[:-1] |= same
+        repeated &= marks != COPIES
         keys.append(key[:-1][repeated[:-1]])
         places.append(place[:-1][repeated[:-1]])
         total += len(keys[-1])
         # A held row that has met an equal one stays marked.
-        held = [first[-1:], second[-1:], np.where(repeated[-1:], 2, times[-1:]), key[-1:], place[-1:]]
+        held = [first[-1:], second[-1:], np.where(repeated[-1:], REPEATED, marks[-1:]).astype(np.int8), key[-1:], place[-1:]]
         if total >= PACK:
             yield _packed(keys, places)
             keys, places, total = [], [], 0
-    if held is not None and held[2][0] > 1:
+    if held is not None and held[2][0] == REPEATED:
         keys.append(held[3])
         places.append(held[4])
         total += 1
@@ -166,16 +175,39 @@ def _with_places(docs: DataFrame, places: DataFrame, how: str) -> DataFrame:
     return some.unionByName(rest)
 
 
+def _with_copies(keyed: DataFrame, window: int) -> DataFrame:
+    """Adds ``copies`` (the text occurs whole elsewhere) and ``stands`` (first of its copies).
+
+    Only where the ids of all copies fit a broadcast; else no row counts as a copy, and
+    copies are found by their windows like anything else.
+    """
+    # A window takes a letter and a separator a word.
+    long = keyed.where(F.octet_length("text") >= 2 * window - 1)
+    prints = long.select(F.col("key").alias("copy_key"), F.xxhash64("text").alias("x"), F.xxhash64(F.lit(1), "text").alias("y"))
+    classes = prints.groupBy("x", "y").agg(F.min("copy_key").alias("stands_for"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
+    copies = cut(prints.join(classes, ["x", "y"]).select("copy_key", "stands_for").distinct())
+    if copies.count() * 16 > BROADCAST_BYTES:
+        return keyed.withColumn("copies", F.lit(False)).withColumn("stands", F.lit(True))
+    found = keyed.join(F.broadcast(copies), F.col("key") == F.col("copy_key"), "left")
+    return found.select(
+        *keyed.columns,
+        F.col("copy_key").isNotNull().alias("copies"),
+        (F.col("copy_key").isNull() | (F.col("key") == F.col("stands_for"))).alias("stands"),
+    )
+
+
 def _kept(batches: Iterator[pa.RecordBatch], window: int, texts: bool) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         data, offsets = text_bytes(batch.column("text"))
-        lists = batch.column("places")
+        lists, copies = batch.column("places"), batch.column("copies").to_numpy(zero_copy_only=False)
         n_words, n_removed, digests, kept = [], [], [], []
         for d in range(batch.num_rows):
             words = data[offsets[d] : offsets[d + 1]].tobytes().split()
             removed = 0
             n_words.append(len(words))
-            if lists[d].is_valid:
+            if copies[d] and len(words) >= window:
+                removed, words = len(words), []
+            elif lists[d].is_valid:
                 cover = np.zeros(len(words) + 1, np.int64)
                 starts = np.unique(np.asarray(lists[d].values))
                 cover[starts] += 1
@@ -215,12 +247,14 @@ def remove_repeats(docs: DataFrame, window: int = 35, texts: bool = False) -> Da
     whole = docs.schema["doc_id"].dataType.simpleString() in ("bigint", "int", "smallint", "tinyint")
     plain = whole and (ids["n"] or 0) <= 1 and not ids["none"]
     key = F.col("doc_id").cast("long") if plain else F.xxhash64("doc_id", "text")
-    keyed = rows.withColumn("key", key)
-    anchors = keyed.select("key", "text").mapInArrow(lambda batches: _anchors(batches, window), _ROWS)
+    keyed = _with_copies(rows.withColumn("key", key), window)
+    standing = keyed.where("stands").select("key", "text", "copies")
+    anchors = standing.select("key", "text").mapInArrow(lambda batches: _anchors(batches, window), _ROWS)
     near = cut(_places(anchors))
-    around = _with_places(keyed.select("key", "text"), near, "inner")
+    around = _with_places(standing, near, "inner")
     windows = around.mapInArrow(lambda batches: _windows(batches, window), _ROWS)
     repeated = cut(_places(windows))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * texts
-    return _with_places(keyed, repeated, "left").mapInArrow(lambda batches: _kept(batches, window, texts), schema)
+    columns = ["doc_id", "key", "text", "copies"]
+    return _with_places(keyed.select(columns), repeated, "left").mapInArrow(lambda batches: _kept(batches, window, texts), schema)
