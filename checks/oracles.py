@@ -204,9 +204,6 @@ OUTCOME = """CASE event_type WHEN 'error' THEN 'blank_user_id' WHEN 'signup' THE
 PAYLOAD_OUTCOME = """CASE event_type WHEN 'error' THEN 'blank_computer_id' WHEN 'signup' THEN 'malformed_json'
              WHEN 'view' THEN 'event_time_without_zone' WHEN 'purchase' THEN 'unknown_field' END"""
 
-# Windows that are closed once all events were read with a watermark of 5 minutes.
-CLOSED = f"{NOW} - INTERVAL 5 MINUTE"
-
 
 def _dq(failed: list[tuple[str, str, str]], source: str, schema_failed: int, *uses: str) -> str:
     """One row per check; ``failed`` is (name, type, condition)."""
@@ -344,7 +341,8 @@ def oracle_sql() -> dict[str, str]:
             "spans",
         ),
         "seen_pairs": sql(
-            "SELECT user_id, computer_id, min(event_time) AS first_seen FROM auth GROUP BY 1, 2", "auth"
+            "SELECT user_id, computer_id, min(event_time) AS first_seen, max(event_time) AS last_seen FROM auth GROUP BY 1, 2",
+            "auth",
         ),
         "new_pairs": sql(
             """SELECT DISTINCT user_id, computer_id FROM auth a WHERE success AND NOT EXISTS (
@@ -352,7 +350,8 @@ def oracle_sql() -> dict[str, str]:
             "auth",
         ),
         "merged_history": sql(
-            "SELECT user_id, computer_id, min(event_time) AS first_seen FROM auth GROUP BY 1, 2", "auth"
+            "SELECT user_id, computer_id, min(event_time) AS first_seen, max(event_time) AS last_seen FROM auth GROUP BY 1, 2",
+            "auth",
         ),
         # windows and rollups
         "features_1h": sql(f"SELECT {FEATURE_COLUMNS} FROM hop1", "hop1"),
@@ -685,6 +684,13 @@ def oracle_sql() -> dict[str, str]:
                FROM backfilled GROUP BY 1, 2, 3, 7""",
             "backfilled",
         ),
+        "job_ingest_twice": sql("SELECT event_id, event_time, user_id, computer_id FROM auth", "auth"),
+        "events_without_ids": sql(
+            """SELECT user_id, count(*) AS events
+               FROM (SELECT DISTINCT user_id, computer_id, event_time, CASE WHEN success THEN event_id END FROM auth)
+               GROUP BY 1""",
+            "auth",
+        ),
         "job_backfill_hosts": sql(
             """SELECT CAST(event_time AS DATE) AS event_date, dst_host AS host_id,
                       count(DISTINCT user_id) AS distinct_users, count(*) AS total_events
@@ -695,11 +701,10 @@ def oracle_sql() -> dict[str, str]:
         "stream_dedup": sql("SELECT event_id, event_time, user_id, computer_id FROM auth", "auth"),
         "stream_first_seen": sql("SELECT event_id, user_id, computer_id, is_new_device FROM flagged", "flagged"),
         "stream_features": sql(
-            f"SELECT {FEATURE_COLUMNS} FROM features WHERE window_end <= {CLOSED}", "features"
+            f"SELECT {FEATURE_COLUMNS} FROM features", "features"
         ),
         "stream_curated": sql(
-            f"""SELECT {CURATED_COLUMNS} FROM curated
-                WHERE time_bucket(INTERVAL 1 HOUR, event_time) + INTERVAL 1 HOUR <= {CLOSED}""",
+            f"SELECT {CURATED_COLUMNS} FROM curated",
             "curated",
         ),
     }

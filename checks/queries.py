@@ -24,7 +24,7 @@ from gatewatch.session import prepare, scratch_path
 from gatewatch.sources import payload, tables, validate
 from gatewatch.sources.activity import auth_events, between
 from gatewatch.sources.logs import parse_lines
-from gatewatch.streaming import pipeline
+from gatewatch.streaming import pipeline, tail
 
 # The test data never reaches the default thresholds, so these are lower.
 SCALED = PipelineConfig(
@@ -315,13 +315,26 @@ def _stored_stream(i: Inputs, label: str) -> PipelineConfig:
 def _features_stream(i: Inputs) -> DataFrame:
     cfg = _stored_stream(i, "stream-features")
     pipeline.start_features(i.spark, cfg).awaitTermination()
-    return tables.features(i.spark, cfg.tables)
+    return tail.complete_features(i.spark, cfg)
 
 
 def _curated_stream(i: Inputs) -> DataFrame:
     cfg = _stored_stream(i, "stream-curated")
     pipeline.start_curated(i.spark, cfg).awaitTermination()
-    return tables.curated_events(i.spark, cfg.tables)
+    return tail.complete_curated(i.spark, cfg)
+
+
+def _ingested_twice(i: Inputs) -> DataFrame:
+    """All events, then all again with some of later days and some without id."""
+    paths = TablePaths(scratch_path(i.spark, "ingest"))
+    jobs.ingest(i.events, paths)
+    jobs.ingest(i.events.unionByName(i.events.filter("NOT success")), paths)
+    return tables.raw_events(i.spark, paths).select("event_id", "event_time", "user_id", "computer_id")
+
+
+def _without_ids(i: Inputs) -> DataFrame:
+    nameless = i.events.withColumn("event_id", F.when(F.col("success"), F.col("event_id")))
+    return clean_events(nameless.unionByName(nameless)).groupBy("user_id").agg(F.count(F.lit(1)).alias("events"))
 
 
 PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
@@ -441,6 +454,8 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     # jobs
     "job_backfill_curated": lambda i: tables.curated_events(i.spark, i.backfilled()),
     "job_backfill_hourly": lambda i: tables.user_behavior_hourly(i.spark, i.backfilled()),
+    "job_ingest_twice": _ingested_twice,
+    "events_without_ids": _without_ids,
     "job_backfill_hosts": lambda i: tables.host_popularity_daily(i.spark, i.backfilled()),
     # streams
     "stream_dedup": lambda i: i.drained(pipeline.unique_stream(i.stream(), "5 minutes"), "stream-dedup").select(

@@ -63,10 +63,11 @@ def _stream_config(args: argparse.Namespace) -> StreamConfig:
 
 
 def main(argv: list[str] | None = None) -> int:
-    args = _parser().parse_args(argv)
+    parser = _parser()
+    args = parser.parse_args(argv)
+    if getattr(args, "end_date", None) and args.end_date <= args.start_date:
+        parser.error("the days asked for are none: the last must come after the first")
     tables, risk = TablePaths(args.base), RiskConfig.of(args.risk)
-    if args.command in ("daily", "backfill") and args.end_date <= args.start_date:
-        raise SystemExit("end-date must be after start-date")
     spark = build_session()
 
     if args.command == "ingest":

@@ -147,9 +147,12 @@ _SQL_ARGS = (
 def register_risk_functions(spark: SparkSession, cfg=None) -> None:
     """Create the SQL functions ``risk_score`` and ``risk_flags`` (8 arguments each).
 
-    They are SQL-bodied, so Catalyst inlines them; no Python runs per row.
+    They are SQL-bodied, so Catalyst inlines them; no Python runs per row. The arguments
+    tell new devices but not unpopular hosts, so the mode that needs these is refused.
     """
     cfg = RiskConfig.of(cfg)
+    if cfg.rare_host_mode != "new_device":
+        raise ValueError("the SQL functions know new devices only; use apply_risk_engine for rare hosts by popularity")
     tests = {
         "lateral_movement": f"coalesce(hosts_1h, 0) >= {cfg.lateral_movement_unique_hosts_1h}",
         "burst_login": f"coalesce(events_1h, 0) >= {cfg.burst_login_event_count_1h}",

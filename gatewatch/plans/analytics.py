@@ -122,7 +122,7 @@ def latest_events(curated: DataFrame, limit: int = 20) -> DataFrame:
 
 
 def high_risk_events(curated: DataFrame, as_of, min_score: int = 50, limit: int | None = 50) -> DataFrame:
-    recent = curated.filter(
+    recent = _since_yesterday(curated, as_of).filter(
         (F.col("event_time") >= since(as_of_column(as_of), days=1)) & (F.col("risk_score") >= min_score)
     )
     if limit is None:
@@ -187,7 +187,8 @@ def high_risk_with_behavior(curated: DataFrame, features: DataFrame, as_of, limi
 def high_risk_users_last_hour(curated: DataFrame, as_of, limit: int = 20) -> DataFrame:
     """Users with HIGH or CRITICAL events in the last hour and their distinct flag lists."""
     return (
-        curated.filter(
+        _since_yesterday(curated, as_of)
+        .filter(
             (F.col("event_time") >= since(as_of_column(as_of), hours=1)) & risk_level().isin(*HIGH_LEVELS)
         )
         .groupBy("user_id")

@@ -14,7 +14,7 @@ from gatewatch.operators.features import features_at_events, window_features
 from gatewatch.operators.firstseen import flag_new_devices
 from gatewatch.operators.rolling import rolling_activity
 from gatewatch.operators.rollups import flag_rare_hosts
-from gatewatch.sources.validate import canonical_events, scoring_view
+from gatewatch.sources.validate import canonical_events, scoring_view, with_event_id
 
 CURATED_COLUMNS = [
     "event_time",
@@ -33,9 +33,12 @@ CURATED_COLUMNS = [
 
 
 def clean_events(events: DataFrame, unique: bool = False) -> DataFrame:
-    """Canonical events, one per id. ``unique`` says the input is deduplicated already."""
+    """Canonical events, one per id. ``unique`` says the input is deduplicated already.
+
+    An event without id gets one from its time, user and host, so none is lost.
+    """
     events = canonical_events(events)
-    return events if unique else deduplicate(events)
+    return events if unique else deduplicate(with_event_id(events))
 
 
 def build_raw(events: DataFrame, unique: bool = False) -> DataFrame:

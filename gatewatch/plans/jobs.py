@@ -12,8 +12,8 @@ from gatewatch.functions.times import before_day, event_date, within, within_day
 from gatewatch.operators.firstseen import PAIR, merge_seen_pairs, seen_pairs
 from gatewatch.operators.rollups import host_popularity_daily, user_behavior_hourly
 from gatewatch.plans.curated import build_curated, clean_events
-from gatewatch.plans.tables import append_table, days, refresh_days
-from gatewatch.session import prepare
+from gatewatch.plans.tables import append_table, days, has_files, refresh_days
+from gatewatch.session import materialize, prepare
 from gatewatch.sources import tables as scans
 
 
@@ -53,13 +53,26 @@ def run_daily(
     refresh_host_popularity_daily(spark, tables, start, end)
 
 
-def ingest(events: DataFrame, tables: TablePaths) -> None:
-    """Append deduplicated events to the raw table.
+def ingest(events: DataFrame, tables: TablePaths, margin_days: int = 1) -> None:
+    """Append events that the raw table does not hold yet, one per id.
 
-    Later builds read this table, so deduplication is paid for once.
+    Ids are looked up in the stored days that the new events touch and ``margin_days`` on
+    either side, so ingesting the same events again changes nothing and later builds may
+    trust the table. Events without id get one from their content.
     """
-    stored = clean_events(events).withColumn("event_date", event_date())
-    append_table(stored, tables.raw, ["event_date"])
+    spark = events.sparkSession
+    prepare(spark)
+    new = clean_events(events).withColumn("event_date", event_date())
+    if has_files(spark, tables.raw):
+        first, last = new.agg(F.min("event_time"), F.max("event_time")).first()
+        if first is None:
+            return
+        margin = timedelta(days=margin_days)
+        known = scans.raw_events(spark, tables).filter(
+            F.col("event_date").between((first - margin).date().isoformat(), (last + margin).date().isoformat())
+        )
+        new = materialize(new.join(known.select("event_id").distinct(), "event_id", "left_anti"), "ingest")
+    append_table(new.select(*[c for c in new.columns if c != "event_date"], "event_date"), tables.raw, ["event_date"])
 
 
 def history_before(spark: SparkSession, tables: TablePaths, moment: date, stored: bool = False) -> DataFrame:
@@ -116,19 +129,15 @@ def backfill(
 def merge_history(spark: SparkSession, tables: TablePaths, start: date, end: date) -> None:
     """Add the pairs of raw days ``[start, end)`` to the stored history.
 
-    Pairs are appended; readers take the earliest time of a pair, so running this twice
-    or out of order changes nothing. Pairs known with an earlier time are not written.
+    Pairs are appended; readers take the earliest and the latest time of a pair, so running
+    this twice or out of order changes nothing. Pairs that add no time are not written.
     """
     prepare(spark)
     found = seen_pairs(scans.raw_events(spark, tables).filter(within_days(start, end)))
-    try:
-        known = merge_seen_pairs(scans.seen_pairs(spark, tables)).withColumnRenamed("first_seen", "_known")
-        found = (
-            found.join(known, PAIR, "left")
-            .filter(F.col("_known").isNull() | (F.col("first_seen") < F.col("_known")))
-            .drop("_known")
+    if has_files(spark, tables.seen_pairs):
+        known = merge_seen_pairs(scans.seen_pairs(spark, tables)).select(
+            *PAIR, F.col("first_seen").alias("_first"), F.col("last_seen").alias("_last")
         )
-    except Exception as absent:
-        if "PATH_NOT_FOUND" not in str(absent):
-            raise
+        wider = F.col("_first").isNull() | (F.col("first_seen") < F.col("_first")) | (F.col("last_seen") > F.col("_last"))
+        found = found.join(known, PAIR, "left").filter(wider).drop("_first", "_last")
     found.write.mode("append").parquet(tables.seen_pairs)

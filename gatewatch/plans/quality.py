@@ -55,11 +55,10 @@ def compare_schema(df: DataFrame, expected: list[Mapping[str, str]]) -> dict:
     """Expected columns that are missing or of another type. Extra columns are allowed."""
     actual = {f.name: f.dataType.simpleString() for f in df.schema.fields}
     missing, mismatched = [], []
-    for entry in expected:
-        if len(entry) != 1:
-            raise ValueError("expected_columns must be a list of single-entry mappings")
-        ((name, wanted),) = entry.items()
-        wanted = str(wanted).lower()
+    if any(len(entry) != 1 for entry in expected):
+        raise ValueError("each expected column is given as one name with its type")
+    for name, kind in (pair for entry in expected for pair in entry.items()):
+        wanted = str(kind).lower()
         if name not in actual:
             missing.append(name)
         elif actual[name] != wanted:
@@ -121,7 +120,7 @@ def run_suite(df: DataFrame, suite: Mapping = CURATED_SUITE, compat: bool = Fals
         broken = failed > 0 if kind == "schema" and not compat else pct > threshold
         rows.append(
             F.struct(
-                F.lit(str(check.get("name") or "unnamed_check")).alias("name"),
+                F.lit(str(check.get("name") or f"check {len(rows) + 1}")).alias("name"),
                 F.lit(kind).alias("type"),
                 total.alias("total_rows"),
                 failed.alias("failed_rows"),

@@ -102,6 +102,11 @@ def _first_file(spark: SparkSession, path: str) -> str | None:
     return files.next().getPath().getName() if files.hasNext() else None
 
 
+def has_files(spark: SparkSession, path: str) -> bool:
+    """Whether a table has been written at ``path``."""
+    return _first_file(spark, path) is not None
+
+
 def _require_batch_table(spark: SparkSession, path: str) -> None:
     """A streaming sink lists its files in a log, and readers see only those."""
     filesystem, log = _folder(spark, f"{path}/_spark_metadata")

@@ -108,4 +108,5 @@ SEEN_PAIRS = _struct(
     ("user_id", StringType()),
     ("computer_id", StringType()),
     ("first_seen", TimestampType()),
+    ("last_seen", TimestampType()),
 )

@@ -2,14 +2,21 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from gatewatch.functions.ids import hashed_event_id, joined_event_id
 from gatewatch.functions.times import epoch_to_time
+from gatewatch.session import materialize
 from gatewatch.sources.validate import first_reason, stripped
 
 LINE_NUMBER = "line_number"
+FILE = "log_file"
+
+#: File blocks whose line counts are broadcast; beyond, lines are joined with them by block.
+BROADCAST_BLOCKS = 1_000_000
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
@@ -21,10 +28,12 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 
 
 def number_lines(lines: DataFrame) -> DataFrame:
-    """Append the 0-based line number within each file, without a global sort.
+    """Append the 0-based line number within each file and the file, without a global sort.
 
     Rows are numbered within their file block; the blocks' line counts, one small row
-    per block, then give each block its offset.
+    per block, then give each block its offset. These are counted beforehand and stored,
+    so that the text itself is not shuffled while they fit a broadcast. Both scans split
+    files alike as long as the files and the session's file settings stay the same.
     """
     placed = lines.select(
         "*",
@@ -42,10 +51,14 @@ def number_lines(lines: DataFrame) -> DataFrame:
         "_first",
         F.coalesce(F.sum("_lines").over(earlier), F.lit(0)).alias("_offset"),
     )
+    offsets = materialize(offsets, "line-offsets")
+    if offsets.count() <= BROADCAST_BLOCKS:
+        offsets = F.broadcast(offsets)
     return (
         placed.join(offsets, ["_file", "_block"])
         .withColumn(LINE_NUMBER, F.col("_offset") + F.col("_row") - F.col("_first"))
-        .drop("_file", "_block", "_row", "_first", "_offset")
+        .withColumnRenamed("_file", FILE)
+        .drop("_block", "_row", "_first", "_offset")
     )
 
 
@@ -59,15 +72,17 @@ def _event_id(kind: str, time: Column, user: Column, computer: Column) -> Column
     raise ValueError(f"unknown event id kind {kind!r}")
 
 
-def parse_lines(lines: DataFrame, base_epoch: int = 0, event_id: str = "hash") -> DataFrame:
+def parse_lines(
+    lines: DataFrame, base_epoch: int = 0, event_id: str = "hash", keep: Sequence[str] = ()
+) -> DataFrame:
     """Parse the ``value`` column of ``lines`` into events with a ``reject_reason``.
 
     Blank lines and a header are no records and are left out; every other line is kept,
-    bad ones with the reason.
+    bad ones with the reason. ``keep`` names columns of ``lines`` to carry along.
     """
     text = stripped("value")
     parts = F.split(text, ",", -1)
-    carried = [c for c in lines.columns if c == LINE_NUMBER]
+    carried = [c for c in lines.columns if c == LINE_NUMBER or c in keep]
     fields = lines.filter(text != "").select(
         F.col("value"),
         *carried,
@@ -93,6 +108,7 @@ def parse_lines(lines: DataFrame, base_epoch: int = 0, event_id: str = "hash") -
         _event_id(event_id, F.col("_time"), F.col("_user"), F.col("_computer")).alias("event_id"),
         F.col("value").alias("raw_line"),
         reason.alias("reject_reason"),
+        *keep,
     )
 
 
@@ -104,10 +120,14 @@ def read_log(
     base_epoch: int = 0,
     event_id: str = "hash",
 ) -> DataFrame:
-    """Valid events of a log, optionally from a line on and at most ``max_events``."""
+    """Valid events of a log, optionally from a line on and at most ``max_events``.
+
+    A bounded read takes the first events in order of file name and line.
+    """
     lines = read_lines(spark, path)
-    if start_line or event_id == "joined_line":
+    if start_line or event_id == "joined_line" or max_events is not None:
         lines = number_lines(lines).filter(F.col(LINE_NUMBER) >= start_line)
-    events = parse_lines(lines, base_epoch, event_id).filter(F.col("reject_reason").isNull())
+    keep = [] if max_events is None else [FILE, LINE_NUMBER]
+    events = parse_lines(lines, base_epoch, event_id, keep).filter(F.col("reject_reason").isNull())
     events = events.drop("raw_line", "reject_reason")
-    return events if max_events is None else events.limit(max_events)
+    return events if max_events is None else events.orderBy(FILE, LINE_NUMBER).limit(max_events).drop(*keep)

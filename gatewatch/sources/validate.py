@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gatewatch.functions.ids import hashed_event_id
 from gatewatch.functions.times import event_date
 
 # Fixed value: characters stripped from both ends of a field.
@@ -55,6 +56,12 @@ def canonical_events(df: DataFrame) -> DataFrame:
     return df.filter(F.col("event_time").isNotNull() & ~is_blank("user_id") & ~is_blank("computer_id"))
 
 
+def with_event_id(df: DataFrame) -> DataFrame:
+    """A missing or blank event id becomes the hash of time (microseconds), user and host."""
+    own = hashed_event_id(F.unix_micros("event_time").cast("string"), F.col("user_id"), F.col("computer_id"))
+    return df.withColumn("event_id", F.when(is_blank("event_id"), own).otherwise(F.col("event_id")))
+
+
 def valid_events(validated: DataFrame) -> DataFrame:
     return validated.filter(F.col("reject_reason").isNull()).drop("reject_reason")
 

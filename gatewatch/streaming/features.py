@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from gatewatch.config import HopSpec
@@ -51,25 +51,38 @@ def stream_features(flagged: DataFrame, hops: list[HopSpec]) -> DataFrame:
     return features.select(*FEATURE_COLUMNS)
 
 
+def _slot(time: str, hop: HopSpec) -> Column:
+    """Number of a time's slot. A plain number: a stream has one event-time column only."""
+    return F.floor(F.unix_seconds(time) / F.lit(hop.slide))
+
+
 def join_window(events: DataFrame, flagged: DataFrame, hop: HopSpec, names: dict[str, str]) -> DataFrame:
     """Left join with the window that ends with the event's slot.
 
-    The range on event time equals "the event lies in the window's last slide"; it is
-    also what lets Spark bound the state of a stream-stream join. Windows without events
-    in their last slide match nothing and are left out of that state.
+    The slot is part of the key, so a busy user is spread over as many keys as there are
+    busy slots. The range on event time says the same once more, in the form that lets
+    Spark bound the state of a stream-stream join. Windows without events in their last
+    slide match nothing and are left out of that state.
     """
-    side = stream_window(flagged, hop).filter("ends_busy").select(
-        F.window_time("w").alias(f"_end_{hop.label}"),
-        F.col("user_id").alias(f"_user_{hop.label}"),
-        *[F.col(source).alias(target) for source, target in names.items()],
+    side = (
+        stream_window(flagged, hop)
+        .filter("ends_busy")
+        .select(
+            F.window_time("w").alias(f"_end_{hop.label}"),
+            F.col("user_id").alias(f"_user_{hop.label}"),
+            *[F.col(source).alias(target) for source, target in names.items()],
+        )
+        .withColumn(f"_last_{hop.label}", _slot(f"_end_{hop.label}", hop))
     )
+    slotted = events.withColumn(f"_slot_{hop.label}", _slot("event_time", hop))
     end = F.col(f"_end_{hop.label}")
     condition = (
         (F.col("user_id") == F.col(f"_user_{hop.label}"))
+        & (F.col(f"_slot_{hop.label}") == F.col(f"_last_{hop.label}"))
         & (F.col("event_time") <= end)
         & (F.col("event_time") > end - F.expr(f"INTERVAL {hop.slide} SECONDS"))
     )
-    return events.join(side, condition, "left").drop(f"_end_{hop.label}", f"_user_{hop.label}")
+    return slotted.join(side, condition, "left").drop(*[f"_{c}_{hop.label}" for c in ("end", "user", "last", "slot")])
 
 
 def stream_enriched(flagged: DataFrame, hour: HopSpec, day: HopSpec) -> DataFrame:

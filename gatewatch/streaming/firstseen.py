@@ -19,7 +19,7 @@ from pyspark.sql.types import BooleanType, LongType, StringType, StructField, St
 
 from gatewatch import schemas
 from gatewatch.config import duration_seconds
-from gatewatch.operators.firstseen import PAIR
+from gatewatch.operators.firstseen import PAIR, last_seen
 
 EVENT_FIELDS = schemas.EVENTS.fields
 FLAGGED = StructType([*EVENT_FIELDS, StructField("is_new_device", BooleanType())])
@@ -45,7 +45,7 @@ class FirstSeenFlagger(StatefulProcessor):
         self.pairs = handle.getMapState("pairs", _PAIR_KEY, _LAST_SEEN)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        pairs = zip(initialState["user_id"], initialState["computer_id"], initialState["first_seen"])
+        pairs = zip(initialState["user_id"], initialState["computer_id"], initialState["last_seen"])
         for user, host, seen in pairs:
             self.pairs.updateValue((user, host), (int(pd.Timestamp(seen).timestamp() * 1000),))
 
@@ -93,7 +93,7 @@ def flag_new_devices_stream(
     """Append ``is_new_device`` to a watermarked event stream.
 
     ``shards`` should be a few times the number of shuffle partitions; it is fixed once
-    a checkpoint exists. ``history`` (user, host, first_seen) seeds the state of a
+    a checkpoint exists. ``history`` (user, host, first and last seen) seeds the state of a
     query's first batch. Use the result for one sink and read further queries from what
     it stored, so that this state is kept once.
     """
@@ -103,7 +103,7 @@ def flag_new_devices_stream(
 
     initial = None
     if history is not None:
-        initial = sharded(history.select(*PAIR, "first_seen")).groupBy("shard")
+        initial = sharded(history.select(*PAIR, last_seen(history).alias("last_seen"))).groupBy("shard")
     return (
         sharded(events.select(*[f.name for f in EVENT_FIELDS]))
         .groupBy("shard")

@@ -83,7 +83,13 @@ def flagged_stream(events: DataFrame, cfg: StreamConfig, history: DataFrame | No
 
 
 def curated_stream(flagged: DataFrame, cfg: PipelineConfig) -> DataFrame:
-    """Rows of the curated table from flagged, watermarked events."""
+    """Rows of the curated table from flagged, watermarked events.
+
+    Which hosts are the day's least visited is known at the day's end only, so that mode
+    of the rare-host rule is left to batch builds.
+    """
+    if cfg.risk.rare_host_mode != "new_device":
+        raise ValueError("a stream cannot rank a day's hosts before it ends; rare_host_mode must be new_device")
     enriched = stream_enriched(flagged, cfg.hour_hop, cfg.day_hop)
     counts = ["window_1h_event_count", "window_1h_unique_hosts", "window_24h_unique_hosts"]
     filled = enriched.withColumns(
@@ -174,6 +180,8 @@ def start_pipeline(
     """Start all queries. With ``trigger_once`` each stage ends before the next starts."""
     if cfg.tables is None:
         raise ValueError("cfg.tables names where the tables are")
+    if cfg.risk.rare_host_mode != "new_device":
+        raise ValueError("rare_host_mode must be new_device on a stream")
     prepare_streaming(spark)
     queries = start_ingest(spark, cfg, history)
     if cfg.stream.trigger_once:

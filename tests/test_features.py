@@ -195,3 +195,12 @@ def test_behavior_context_equals_full_join(spark, events):
     )
     keys = ["user_id", "event_time", "dst_host", "window_start"]
     assert [tuple(r) for r in got.select(keys).collect()] == [tuple(r) for r in full.select(keys).collect()]
+
+
+def test_first_seen_with_ttl_and_history(spark):
+    """A pair counts as known for as long as the history's last sighting is not too old."""
+    day = 86400
+    history = seen_pairs(frame(spark, [event(0), event(day * 9), event(0, "U2", "C2")]))
+    rows = [event(day * 10), event(day * 20), event(day * 10, "U2", "C2"), event(day * 21, "U3", "C3")]
+    flagged = flag_new_devices(frame(spark, rows), history, ttl="3 days").filter("is_new_device")
+    assert {r.event_id for r in flagged.collect()} == {f"{day * 20}-U1-C1", f"{day * 10}-U2-C2", f"{day * 21}-U3-C3"}

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gatewatch.config import PipelineConfig, RiskConfig, TablePaths
-from gatewatch.plans import jobs
+from gatewatch.plans import analytics, jobs
 from gatewatch.plans.curated import build_curated, build_raw, build_wide
 from gatewatch.plans.tables import create_tables, insert_features, register_partitions
 from gatewatch.operators.features import compute_rolling_windows
@@ -125,3 +125,29 @@ def test_wide_and_curated_keep_every_event(events):
 def test_blank_ids_are_left_out(spark):
     rows = [event(1), event(2, user=" "), event(3, host=""), event(4, host="C2")]
     assert build_curated(frame(spark, rows)).count() == 2
+
+
+def test_ingesting_again_changes_nothing(spark, events, lake):
+    jobs.ingest(events, lake)
+    jobs.ingest(events.filter("user_id = 'U0'").withColumn("event_time", F.col("event_time") + F.expr("INTERVAL 1 HOUR")), lake)
+    assert same(scans.raw_events(spark, lake), build_raw(events))
+    jobs.ingest(events.limit(0), lake)
+    more = frame(spark, [event(5, "U7", "C7", "more"), event(86400 * 3, "U0", "C0", "e0001")])
+    jobs.ingest(more, lake)
+    known = {r.event_id for r in build_raw(events).collect()}
+    assert {r.event_id for r in scans.raw_events(spark, lake).collect()} == known | {"more"}
+
+
+def test_events_without_ids_stay(spark):
+    rows = [event(0, "U1", "C1"), event(1, "U1", "C1"), event(0, "U2", "C1"), event(0, "U2", "C1")]
+    nameless = frame(spark, rows).withColumn("event_id", F.lit(None).cast("string"))
+    assert build_raw(nameless).count() == 3
+    assert build_raw(nameless.withColumn("event_id", F.lit(" "))).select("event_id").distinct().count() == 3
+
+
+def test_reports_that_look_back_read_few_days(spark, events, lake):
+    jobs.backfill(spark, lake, FIRST, LAST, CFG)
+    curated = scans.curated_events(spark, lake)
+    for report in (analytics.high_risk_events, analytics.high_risk_users_last_hour, analytics.high_risk_users):
+        plan = report(curated, F.lit("2024-03-04 12:00:00").cast("timestamp"))._jdf.queryExecution().executedPlan().toString()
+        assert "PartitionFilters: [isnotnull(event_date" in plan

@@ -68,3 +68,8 @@ def test_basic_rules(spark):
     df = spark.createDataFrame([(True, True), (False, None)], "a boolean, b boolean")
     total, flags = risk.evaluate_basic_risk("a", "b")
     assert [tuple(r) for r in df.select(total, flags).collect()] == [(50, ["new_device", "login_burst"]), (0, [])]
+
+
+def test_sql_functions_refuse_the_popularity_mode(spark):
+    with pytest.raises(ValueError):
+        risk.register_risk_functions(spark, RiskConfig(rare_host_mode="popularity"))

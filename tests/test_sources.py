@@ -126,3 +126,13 @@ def test_scoring_view_fills_success(spark):
     view = validate.scoring_view(frame(spark, [event(1, success=None), event(2, success=False), event(3, host="")]))
     assert [r.success for r in view.orderBy("event_time").collect()] == [True, False]
     assert "dst_host" in view.columns and "computer_id" not in view.columns
+
+
+def test_bounded_read_takes_the_first_events_in_order(spark, tmp_path):
+    for n in range(4):
+        (tmp_path / f"{n}.txt").write_text("time,user,computer\n" + "".join(f"{n * 100 + k},U{n},C{k}\n" for k in range(20)))
+    taken = logs.read_log(spark, str(tmp_path), max_events=25)
+    assert taken.columns == logs.read_log(spark, str(tmp_path)).columns
+    assert sorted(r.event_time.timestamp() for r in taken.collect()) == [*range(20), *range(100, 105)]
+    later = logs.read_log(spark, str(tmp_path), start_line=11, max_events=12)
+    assert sorted(r.event_time.timestamp() for r in later.collect()) == [*range(10, 20), 110, 111]

@@ -13,7 +13,7 @@ from gatewatch.operators.rollups import host_access_daily
 from gatewatch.plans.curated import build_curated
 from gatewatch.plans.tables import refresh_days
 from gatewatch.sources import tables as scans
-from gatewatch.streaming import pipeline
+from gatewatch.streaming import pipeline, tail
 from gatewatch.streaming.firstseen import flag_new_devices_stream
 from gatewatch.streaming.sources import source_options, start_position
 from helpers import START, event, frame, skewed_events
@@ -73,6 +73,11 @@ def test_pipeline_equals_batch_over_restarts(spark, folder):
     curated = build_curated(events, cfg).filter("user_id <> 'U9'")
     assert same(scans.curated_events(spark, cfg.tables), curated)
 
+    # With the open tail nothing is missing.
+    whole = build_curated(events, cfg)
+    assert same(tail.complete_curated(spark, cfg), whole)
+    assert same(tail.complete_features(spark, cfg), window_features(events, [HOUR_HOP, DAY_HOP]))
+
     rejected = spark.read.parquet(cfg.tables.dead_letters)
     assert sorted(r.reject_reason for r in rejected.collect()) == [
         "blank_computer_id",
@@ -143,6 +148,29 @@ def test_state_seeded_from_history(spark, folder):
     assert same(got, want)
 
 
+def test_state_seeded_from_history_with_ttl(spark, folder):
+    day = 86400
+    history = seen_pairs(frame(spark, [event(0), event(day * 9), event(0, "U2", "C2")]))
+    rows = [event(day * 10), event(day * 10 + 1, "U2", "C2"), event(day * 20)]
+    stream = flag_new_devices_stream(files(spark, folder, [rows[:2], rows[2:]]), shards=2, ttl="3 days", history=history)
+    got = drain(spark, stream, folder, "out").select("event_id", "is_new_device")
+    assert same(got, flag_new_devices(frame(spark, rows), history, ttl="3 days").select("event_id", "is_new_device"))
+
+
+def test_popularity_mode_is_refused_on_streams(spark, folder):
+    cfg = PipelineConfig(risk=RiskConfig(rare_host_mode="popularity"), tables=TablePaths(folder))
+    with pytest.raises(ValueError):
+        pipeline.start_pipeline(spark, cfg)
+
+
+def test_join_state_is_keyed_by_slot(spark, folder):
+    """Both stream-stream joins shuffle on user and slot, so a busy user is spread."""
+    rows = skewed_events(40)
+    stream = files(spark, folder, [rows]).withWatermark("event_time", "5 minutes").withColumn("is_new_device", F.lit(False))
+    plan = pipeline.curated_stream(stream, PipelineConfig())._jdf.queryExecution().analyzed().toString()
+    assert "_slot_1h" in plan and "_slot_24h" in plan
+
+
 def test_start_positions():
     assert start_position("TRIM_HORIZON") == "earliest" and start_position("LATEST") == "latest"
     with pytest.raises(ValueError):
