@@ -9,8 +9,8 @@ go, the rest is confirmed on full sets.
 
 Equal sets are one node from the start. In a bucket every node is first compared with one
 centre; only buckets whose nodes are not connected by that are gone through in full, in
-blocks of nodes, and only for nodes of different components. So a large group of copies
-costs as many comparisons as it has members.
+blocks of nodes, and only for nodes of different components. Tasks hand on no more links
+than join their nodes, so no group gives rows by the square of its size.
 """
 
 from __future__ import annotations
@@ -32,8 +32,8 @@ from gatewatch.llm.words import Words, mix, sequence, signed, slices, window_has
 BANDS, ROWS = 16, 4
 REGISTERS = BANDS * ROWS
 MANTISSA_BITS = 10
-#: Nodes of a bucket that are compared with one another in one task.
-BLOCK = 256
+#: Nodes of a bucket, and their shingles, that are compared with one another in one task.
+BLOCK, BLOCK_SHINGLES = 256, 200_000
 #: Estimates may fall this many standard errors below the threshold before a pair goes unconfirmed.
 SLACK = 5
 
@@ -147,13 +147,17 @@ def _sizes_allow(n_a: Column, n_b: Column, percent: int) -> Column:
     return F.least(n_a, n_b) * 100 >= F.greatest(n_a, n_b) * percent
 
 
+def _node_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
+    """Full sets of the wanted documents, from their texts."""
+    texts = docs.join(small_side(wanted, 16), F.col("doc_id") == F.col("wanted"), "left_semi")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    return texts.mapInArrow(lambda batches: _sets(batches, size), f"doc_id {kind}, shingles array<bigint>")
+
+
 def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
     """Pairs whose full sets reach the threshold; only documents in a pair are read for that."""
     pairs = cut(pairs)
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()
-    texts = docs.join(small_side(cut(wanted), 16), F.col("doc_id") == F.col("wanted"), "left_semi")
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    sets = texts.mapInArrow(lambda batches: _sets(batches, size), f"doc_id {kind}, shingles array<bigint>")
+    sets = _node_sets(docs, cut(pairs.select(F.explode(F.array("a", "b")).alias("wanted")).distinct()), size)
     first = sets.select(F.col("doc_id").alias("a"), F.col("shingles").alias("x"))
     second = sets.select(F.col("doc_id").alias("b"), F.col("shingles").alias("y"))
     both = pairs.join(first, "a").join(second, "b")
@@ -162,38 +166,84 @@ def _confirmed(pairs: DataFrame, docs: DataFrame, percent: int, size: int) -> Da
     return both.where(shared * 100 >= union * percent).select("a", "b").distinct()
 
 
-def _across(members: DataFrame, percent: int) -> DataFrame:
-    """Pairs of nodes of different components in one bucket, from blocks of each bucket held against one another.
+def _blocked(members: DataFrame) -> DataFrame:
+    """Members dealt into blocks of their bucket, once for each pair of blocks (``low``, ``high``) they are in.
 
-    A bucket of ``n`` nodes has ``n / BLOCK`` blocks; a node goes to as many tasks as
-    there are blocks. Only pairs that pass the estimate come out.
+    Blocks have about ``BLOCK`` nodes and ``BLOCK_SHINGLES`` shingles; a node goes to as
+    many tasks as its bucket has blocks.
     """
-    sizes = members.groupBy("band", "key").agg(F.count(F.lit(1)).alias("n")).select("band", "key", F.ceil(F.col("n") / BLOCK).cast("int").alias("blocks"))
+    most = F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("n_shingles") / BLOCK_SHINGLES)
+    sizes = members.groupBy("band", "key").agg(F.ceil(most).cast("int").alias("blocks"))
     dealt = members.join(sizes, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     spread = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    spread = spread.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+    return spread.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other"))
+
+
+def _likely_partners(frame: pd.DataFrame, percent: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """For each row of the lower block, rows of the higher one that may reach the threshold, with estimates.
+
+    Only of other components, and only in the first band in which two nodes agree, so each pair is met once.
+    """
+    low, high, band = frame.low.iloc[0], frame.high.iloc[0], frame.band.iloc[0]
+    ones, others = np.flatnonzero(frame.block == low), np.flatnonzero(frame.block == high)
+    sketches, n = np.stack(frame.sketch.to_numpy()), frame.n_shingles.to_numpy()
+    component = frame.component.to_numpy()
+    for k, i in enumerate(ones.tolist()):
+        at = others[k + 1 :] if low == high else others
+        may = (component[at] != component[i]) & (np.minimum(n[at], n[i]) * 100 >= np.maximum(n[at], n[i]) * percent)
+        at = at[may]
+        at = at[(sketches[at] == sketches[i]).argmax(axis=1) == band]
+        if len(at):
+            close = estimate(_agreeing(sketches[i : i + 1], sketches[at]), np.full(len(at), n[i]), n[at])
+            fits = close >= least_estimate(percent)
+            if fits.any():
+                yield i, at[fits], close[fits]
+
+
+def _across(members: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
+    """Links between nodes of different components of a bucket: enough of them to connect what is linked.
+
+    Sketches of the blocks of each bucket are held against one another first. Nodes with a
+    likely partner then meet with their full sets; each task keeps only links that join
+    what its earlier links have not, so neither step gives more rows than it has nodes.
+    """
     kind = members.schema["node"].dataType.simpleString()
 
-    def compare(frame: pd.DataFrame) -> pd.DataFrame:
-        low, high = frame.low.iloc[0], frame.high.iloc[0]
-        one, other = frame[frame.block == low], frame[frame.block == high]
-        node_a, node_b = one.node.to_numpy(), other.node.to_numpy()
-        sketch_b = np.stack(other.sketch.to_numpy()) if len(other) else None
-        n_b, comp_b = other.n_shingles.to_numpy(), other.component.to_numpy()
-        out = []
-        for node, n, comp, sketch in zip(node_a, one.n_shingles, one.component, one.sketch, strict=True):
-            if sketch_b is None:
-                break
-            may = (comp_b != comp) & (np.minimum(n_b, n) * 100 >= np.maximum(n_b, n) * percent)
-            may &= (node_b > node) if low == high else True
-            at = np.flatnonzero(may)
-            if len(at):
-                close = estimate(_agreeing(np.ascontiguousarray(sketch)[None], sketch_b[at]), np.full(len(at), n), n_b[at])
-                out += [(min(node, b), max(node, b), min(n, m), max(n, m)) for b, m in zip(node_b[at[close >= least_estimate(percent)]], n_b[at[close >= least_estimate(percent)]], strict=True)]
-        return pd.DataFrame(out, columns=["a", "b", "n_a", "n_b"])
+    def flag(frame: pd.DataFrame) -> pd.DataFrame:
+        found = {x for i, at, _ in _likely_partners(frame, percent) for x in (i, *at.tolist())}
+        return frame.iloc[sorted(found)][["band", "key", "node"]]
+
+    places = ["band", "key", "low", "high"]
+    flagged = cut(_blocked(members).groupBy(*places).applyInPandas(flag, f"band int, key long, node {kind}").distinct())
+    wanted = cut(flagged.select(F.col("node").alias("wanted")).distinct())
+    sets = _node_sets(docs, wanted, size).select(F.col("doc_id").alias("node"), "shingles")
+    likely = _blocked(members.join(flagged, ["band", "key", "node"], "left_semi")).join(sets, "node")
 
-    grouped = spread.groupBy("band", "key", "low", "high")
-    return grouped.applyInPandas(compare, f"a {kind}, b {kind}, n_a long, n_b long").distinct()
+    def link(frame: pd.DataFrame) -> pd.DataFrame:
+        joined = {c: c for c in frame.component}
+
+        def root(c):
+            while joined[c] != c:
+                c = joined[c]
+            return c
+
+        sets, node, component = frame.shingles.to_list(), frame.node.to_list(), frame.component.to_list()
+        out = []
+        for i, at, _ in _likely_partners(frame, percent):
+            at = [j for j in at.tolist() if root(component[j]) != root(component[i])]
+            if not at:
+                continue
+            flat, sizes = np.concatenate([sets[j] for j in at]), np.array([len(sets[j]) for j in at])
+            own = np.sort(sets[i])
+            hit = own[np.minimum(np.searchsorted(own, flat), len(own) - 1)] == flat
+            shared = np.add.reduceat(hit, np.cumsum(sizes) - sizes, dtype=np.int64)
+            for j, close in zip(at, shared * 100 >= (len(own) + sizes - shared) * percent, strict=True):
+                if close and root(component[j]) != root(component[i]):
+                    joined[root(component[j])] = root(component[i])
+                    out.append((node[i], node[j]))
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return likely.groupBy(*places).applyInPandas(link, f"a {kind}, b {kind}")
 
 
 def near_duplicates(docs: DataFrame, percent: int = 80, shingle_words: int = 5) -> DataFrame:
@@ -237,12 +287,8 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle_words: int = 5)
     # Two nodes, a star of one arm: already compared.
     open_buckets = spread.where("x <> y and n > 2").select("band", "key")
     rest = placed.join(open_buckets, ["band", "key"], "left_semi").join(nodes.select("node", "n_shingles", "sketch"), "node")
-    across = cut(_across(rest, percent)).join(stars, ["a", "b"], "left_anti")
-    more = cut(_confirmed(across, docs, percent, shingle_words))
-    if more.isEmpty():
-        final = found
-    else:
-        final = components(links.unionByName(more))
+    more = cut(_across(rest, docs, percent, shingle_words))
+    final = found if more.isEmpty() else components(links.unionByName(more))
     final = small_side(cut(final), 24)
     of_row = sketched.join(nodes.drop("sketch"), same, "left").join(final, F.col("node") == F.col("id"), "left")
     own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
