@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from gatewatch.llm import decontamination, exact_dedup, mixing, near_dedup, toxicity
 from gatewatch.llm.common import scratch_table, table
@@ -33,8 +34,13 @@ def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents the mix takes, with ``copies``: how many times each."""
-    return mixing.mix(docs).where("copies > 0").select("doc.*", "copies", "taken", "target")
+    """Documents the mix takes, with ``copies`` (how many times each), ``taken`` words and their source's ``target``.
+
+    These take the place of columns of the same names.
+    """
+    own = ("copies", "taken", "target")
+    columns = [F.col("doc").getField(c).alias(c) for c in docs.columns if c.lower() not in own]
+    return mixing.mix(docs).where("copies > 0").select(*columns, *own)
 
 
 STAGES: list[tuple[str, Stage]] = [

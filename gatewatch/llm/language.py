@@ -120,8 +120,9 @@ def segments(data: np.ndarray, offsets: np.ndarray, size: int) -> tuple[np.ndarr
     begins = offsets[texts] + nth * size
     at = begins[:, None] + np.arange(size)
     inside = at < offsets[texts + 1][:, None]
-    symbols = np.where(inside, data[np.minimum(at, max(len(data) - 1, 0))] if len(data) else 0, PAD)
-    return symbols.astype(np.int64), texts
+    symbols = np.full(at.shape, PAD, np.int64)
+    symbols[inside] = data[at[inside]]
+    return symbols, texts
 
 
 def train(symbols: np.ndarray, marks: np.ndarray, languages: list[str], seed: int = 5) -> LanguageModel:

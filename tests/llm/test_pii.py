@@ -77,8 +77,8 @@ def test_sanitised_texts(corpus):
 
 
 def test_overlapping_spans_go_together(table):
-    (row,) = pii.sanitise(table([(1, "call +1 4111 1111 1111 1111 or x")])).collect()
-    assert "4111" not in row.text and row.text.startswith("call [") and row.text.endswith("] or x")
+    (row,) = pii.sanitise(table([(1, "call +4222222222222 or x")])).collect()
+    assert row.text == "call [PHONE] or x"
 
 
 def test_edge_cases(edges, nothing):
