@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import math
-from collections.abc import Iterable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,13 +34,13 @@ def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> D
     return F.broadcast(df) if df.count() * row_bytes <= limit else df
 
 
-def held_out(doc_id: Column | str = "doc_id") -> Column:
+def held_out(doc_id: str = "doc_id") -> Column:
     """Rows that no model may learn from: crc32 of the id as text is a multiple of five.
 
     A NULL id counts as held out, since its remainder is unknown.
     """
-    return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(True)) \
-        if isinstance(doc_id, str) else F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 5 == 0, F.lit(True))
+    remainder = F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5
+    return F.coalesce(remainder == 0, F.lit(True))
 
 
 def bounded_sample(rows: DataFrame, key: str, limit: int, by: str, seed: int = 1) -> DataFrame:
@@ -68,15 +65,6 @@ def bounded_sample(rows: DataFrame, key: str, limit: int, by: str, seed: int = 1
     return rows.where(draw < chance)
 
 
-def blocks_for(rows: int, per_block: int) -> int:
-    return max(1, math.ceil(rows / per_block))
-
-
-def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
-    """Drop working columns; names are matched as Spark resolves them."""
-    return df.drop(*names)
-
-
 def scratch_table(df: DataFrame, label: str) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read again."""
     return materialize(df, label)

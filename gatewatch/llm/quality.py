@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gatewatch.llm.common import bounded_sample, cut, held_out
 from gatewatch.llm.words import Words, mix, sequence, slices, span_hashes, window_hashes
 
-#: Most labelled rows to learn from, and most bytes of text in one row of them per pass is not bounded: texts are whole.
+#: Most labelled rows to learn from; their texts are taken whole.
 SAMPLE_ROWS = 5_000
 BUCKET_BITS, DIMENSIONS, EPOCHS, RATE, GRAMS = 16, 8, 6, 0.5, (3, 4)
 

@@ -15,7 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 #: Texts are handled in slices of about this many bytes, so that arrays stay small.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
 
 _GAMMA = np.uint64(0x9E3779B97F4A7C15)
 
