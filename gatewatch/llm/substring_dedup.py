@@ -31,8 +31,6 @@ from gatewatch.llm.words import Words, mix, signed, slices, text_bytes, window_h
 
 #: Perfect difference sets: every difference modulo the period occurs.
 COVERS = {7: (0, 1, 3), 13: (0, 1, 3, 9), 21: (0, 1, 4, 14, 16), 31: (0, 1, 3, 8, 12, 18), 57: (0, 1, 3, 13, 32, 36, 43, 52)}
-#: Places kept in a task before they are packed by document and handed on.
-PACK = 1 << 20
 _ROWS = "first long, second int, mark byte, key long, place int"
 #: Marks of rows: nothing known, known to repeat, stands for copies (which go whole, so its places are not asked for).
 OPEN, REPEATED, COPIES = 0, 1, 2
@@ -111,21 +109,9 @@ def _windows(batches: Iterator[pa.RecordBatch], window: int) -> Iterator[pa.Reco
                 yield _rows(one[at], second, keys[texts], places, all_copies[lo:hi][texts], _salt(keys))
 
 
-def _packed(keys: list[np.ndarray], places: list[np.ndarray]) -> pa.RecordBatch:
-    key, place = np.concatenate(keys), np.concatenate(places)
-    order = np.lexsort((place, key))
-    key, place = key[order], place[order]
-    starts = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
-    bounds = pa.array(np.append(starts, len(key)).astype(np.int32))
-    return pa.RecordBatch.from_arrays([pa.array(key[starts]), pa.ListArray.from_arrays(bounds, pa.array(place))], names=["key", "places"])
-
-
 def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Places of rows, sorted by hash, that have an equal neighbour or are marked; one row is held back between batches."""
     held = None
-    keys: list[np.ndarray] = []
-    places: list[np.ndarray] = []
-    total = 0
     for batch in batches:
         columns = [batch.column(c).to_numpy() for c in ("first", "second", "mark", "key", "place")]
         if not len(columns[0]):
@@ -138,27 +124,18 @@ def _repeated(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         repeated[1:] |= same
         repeated[:-1] |= same
         repeated &= marks != COPIES
-        keys.append(key[:-1][repeated[:-1]])
-        places.append(place[:-1][repeated[:-1]])
-        total += len(keys[-1])
         # A held row that has met an equal one stays marked.
         held = [first[-1:], second[-1:], np.where(repeated[-1:], REPEATED, marks[-1:]).astype(np.int8), key[-1:], place[-1:]]
-        if total >= PACK:
-            yield _packed(keys, places)
-            keys, places, total = [], [], 0
+        found = np.flatnonzero(repeated[:-1])
+        yield pa.RecordBatch.from_arrays([pa.array(key[found]), pa.array(place[found])], names=["key", "place"])
     if held is not None and held[2][0] == REPEATED:
-        keys.append(held[3])
-        places.append(held[4])
-        total += 1
-    if total:
-        yield _packed(keys, places)
+        yield pa.RecordBatch.from_arrays([pa.array(held[3]), pa.array(held[4])], names=["key", "place"])
 
 
 def _places(rows: DataFrame) -> DataFrame:
     """``key`` and all ``places`` of each document whose hash occurs more than once."""
     dealt = rows.repartition("first", "second").sortWithinPartitions("first", "second")
-    packs = dealt.mapInArrow(_repeated, "key long, places array<int>")
-    return packs.groupBy("key").agg(F.flatten(F.collect_list("places")).alias("places"))
+    return dealt.mapInArrow(_repeated, "key long, place int").groupBy("key").agg(F.collect_list("place").alias("places"))
 
 
 def _with_places(docs: DataFrame, places: DataFrame, how: str) -> DataFrame:
