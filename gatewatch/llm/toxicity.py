@@ -29,7 +29,8 @@ SAMPLE_ROWS, MOST_TERMS, NEIGHBOURS = 8_000, 4_000, 15
 #: Least log-likelihood ratio of a term, and how many times more often it must occur under the label.
 LEAST_RATIO, LEAST_LIFT = 15.0, 4.0
 PREFIX_BYTES = (4, 5, 6)
-BLOCK = 64
+#: Examples of a block of the index.
+BLOCK = 512
 
 _KINDS = sequence(1 + len(PREFIX_BYTES), 61)
 
@@ -124,6 +125,7 @@ class Index:
     ids: list
     bare: float  # share of positive rows among examples without any term
     postings: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    edges: list[list[int]] = field(default_factory=list)  # of each term's postings: where each block begins
     bounds: np.ndarray | None = None
     steps: tuple[np.ndarray, np.ndarray] | None = None  # calibration: votes and scores
 
@@ -134,7 +136,9 @@ class Index:
             for t, v in zip(terms.tolist(), values.tolist(), strict=True):
                 by_term[t].append((e, v))
         self.postings = [(np.array([e for e, _ in p], np.int64), np.array([v for _, v in p])) for p in by_term]
-        self.bounds = np.zeros((len(self.weights), -(-n // BLOCK) if n else 0))
+        blocks = -(-n // BLOCK)
+        self.edges = [np.searchsorted(at, np.arange(blocks + 1) * BLOCK).tolist() for at, _ in self.postings]
+        self.bounds = np.zeros((len(self.weights), blocks))
         for t, (at, values) in enumerate(self.postings):
             np.maximum.at(self.bounds[t], at // BLOCK, values)
         return self
@@ -154,9 +158,10 @@ class Index:
             lo = block * BLOCK
             cosines = np.zeros(min(BLOCK, len(self.examples) - lo))
             for t, v in zip(terms, values, strict=True):
-                at, own = self.postings[t]
-                a, b = np.searchsorted(at, (lo, lo + BLOCK))
-                cosines[at[a:b] - lo] += v * own[a:b]
+                a, b = self.edges[t][block], self.edges[t][block + 1]
+                if a < b:
+                    at, own = self.postings[t]
+                    cosines[at[a:b] - lo] += v * own[a:b]
             if lo <= without < lo + BLOCK:
                 cosines[without - lo] = 0
             some = np.flatnonzero(cosines > 0)
