@@ -153,20 +153,24 @@ def revealing_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataF
     per_entity = entities.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
     per_entity = per_entity.where(F.col("n_entity") >= SUPPORT)
     pairs = entities.join(per_entity, "entity").select("entity", "n_entity", "key", F.explode("terms").alias("term")).distinct()
-    pairs = pairs.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= SUPPORT)
-    pairs = cut(pairs)
+    pairs = cut(pairs.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= SUPPORT))
+    texts = float(found.select("key").distinct().agg(F.count(F.lit(1)).alias("n")).first()["n"])
+
+    def share(n_term: str) -> Column:
+        """ln(n_both * texts / (n_term * n_entity)) against ln(texts / n_entity)."""
+        mutual = F.log(F.col("n_both") * F.lit(texts) / (F.col(n_term) * F.col("n_entity")))
+        own = F.log(F.lit(texts) / F.col("n_entity"))
+        return F.when(own > 0, mutual / own).otherwise(F.lit(0.0))
+
+    # A term is in at least the texts in which it is near some entity. Common words are out by that alone.
+    near = entities.select("key", F.explode("terms").alias("near_term")).distinct().groupBy("near_term").agg(F.count(F.lit(1)).alias("n_near"))
+    pairs = cut(pairs.join(near, F.col("term") == F.col("near_term")).where(share("n_near") >= GENERALISE).drop("near_term"))
     wanted = cut(pairs.select(F.col("term").alias("wanted")).distinct())
     rows = docs.select(F.coalesce("text", F.lit("")).alias("text"))
     words = rows.select(_key(F.col("text")).alias("key"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
     places = cut(words.join(small_side(wanted, 64), F.col("term") == F.col("wanted"), "left_semi").distinct())
     per_term = places.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
-    texts = found.select("key").distinct().agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    # ln(n_both * N / (n_term * n_entity)) against ln(N / n_entity)
-    mutual = F.log(F.col("n_both") * F.lit(float(texts)) / (F.col("n_term") * F.col("n_entity")))
-    own = F.log(F.lit(float(texts)) / F.col("n_entity"))
-    share = F.when(own > 0, mutual / own).otherwise(F.lit(0.0))
-    # More texts than hold the term in full can not be: near terms are terms of the text.
-    best = pairs.join(per_term, "term").groupBy("term").agg(F.max(share).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
+    best = pairs.join(per_term, "term").groupBy("term").agg(F.max(share("n_term")).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
     return cut(best.withColumn("action", action)), places
 
