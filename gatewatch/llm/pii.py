@@ -3,9 +3,11 @@
 Addresses, numbers and the like are found by patterns; each different value is a
 protected entity. How strongly a term near an entity reveals it is estimated from the
 corpus: the pointwise mutual information of term and entity over different texts, as a
-share of the entity's own information. A term that occurs only where the entity does
-reveals all of it. Terms above one threshold are removed, those above a lower one
-generalised, wherever they stand.
+share of the entity's own information. The chance of the entity given the term enters it
+as the lower end of its confidence interval (Wilson), so a term that occurs only where the
+entity does reveals the more of it the more texts say so; one text counts, but for less.
+Terms above one threshold are removed, those above a lower one generalised, wherever they
+stand.
 
 Everything is SQL functions and joins. Patterns run iteratively in the JVM's engine: what
 would be a repeated group is first marked by a character of its own (same length), so
@@ -28,11 +30,14 @@ MARK, OTHER = "\ue000", "\ue001"
 
 #: Words on either side that count as near, characters searched for them, least letters of a term.
 NEAR_WORDS, NEAR_CHARS, LETTERS = 8, 160, 3
-#: Least number of different texts a term and an entity share.
-SUPPORT = 3
+#: Standard errors from an estimated chance to the lower end of its interval (95%, one-sided).
+CONFIDENCE = 1.645
 #: Share of an entity's information at which a term is removed, and at which it is generalised.
 REMOVE, GENERALISE = 0.9, 0.6
 
+#: Flagged terms, marked and repeated texts are broadcast up to this many bytes; they grow with the entities.
+HELD_BYTES = 64 << 20
+
 _LOCAL = f"A-Za-z0-9._%+{MARK}-"
 _EMAIL = f"(?:\\G|(?<![{_LOCAL}]))[{_LOCAL}]+@[A-Za-z0-9-]+{MARK}[A-Za-z0-9{MARK}-]+"
 _IP = r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+"
@@ -144,45 +149,58 @@ def _found(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "key", *bare, near.alias("near"))
 
 
+def _lower_end(hits: Column, of: Column) -> Column:
+    """Lower end of Wilson's interval of a share."""
+    z = CONFIDENCE**2
+    share = hits / of
+    return (share + z / (2 * of) - CONFIDENCE * F.sqrt(share * (1 - share) / of + z / (4 * of * of))) / (1 + z / of)
+
+
 def revealing_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Terms that reveal an entity (``term``, ``disclosure``, ``action``), and where they occur (``key``, ``term``).
 
     ``found`` holds the entities of ``docs``. Counts are of different texts, over all of them.
+    Every entity and every term near it is scored, also those of a single text.
     """
     entities = found.where(F.size("near") > 0).select("key", F.explode("near").alias("n")).select("key", "n.entity", "n.terms")
     per_entity = entities.select("entity", "key").distinct().groupBy("entity").agg(F.count(F.lit(1)).alias("n_entity"))
-    per_entity = per_entity.where(F.col("n_entity") >= SUPPORT)
     pairs = entities.join(per_entity, "entity").select("entity", "n_entity", "key", F.explode("terms").alias("term")).distinct()
-    pairs = cut(pairs.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both")).where(F.col("n_both") >= SUPPORT))
+    pairs = cut(pairs.groupBy("entity", "n_entity", "term").agg(F.count(F.lit(1)).alias("n_both")))
     texts = float(found.select("key").distinct().agg(F.count(F.lit(1)).alias("n")).first()["n"])
 
     def share(n_term: str) -> Column:
-        """ln(n_both * texts / (n_term * n_entity)) against ln(texts / n_entity)."""
-        mutual = F.log(F.col("n_both") * F.lit(texts) / (F.col(n_term) * F.col("n_entity")))
+        """ln(chance * texts / n_entity) against ln(texts / n_entity), with the lower end of n_both / n_term as chance.
+
+        It falls with n_term and grows with n_both.
+        """
+        chance = _lower_end(F.col("n_both"), F.col(n_term))
+        mutual = F.log(chance * F.lit(texts) / F.col("n_entity"))
         own = F.log(F.lit(texts) / F.col("n_entity"))
         return F.when(own > 0, mutual / own).otherwise(F.lit(0.0))
 
     # A term is in at least the texts in which it is near some entity. Common words are out by that alone.
     near = entities.select("key", F.explode("terms").alias("near_term")).distinct().groupBy("near_term").agg(F.count(F.lit(1)).alias("n_near"))
     pairs = cut(pairs.join(near, F.col("term") == F.col("near_term")).where(share("n_near") >= GENERALISE).drop("near_term"))
-    wanted = cut(pairs.select(F.col("term").alias("wanted")).distinct())
-    rows = docs.select(F.coalesce("text", F.lit("")).alias("text"))
-    words = rows.select(_key(F.col("text")).alias("key"), F.explode(F.array_distinct(_terms(F.col("text")))).alias("term"))
-    places = cut(words.join(small_side(wanted, 64), F.col("term") == F.col("wanted"), "left_semi").distinct())
-    per_term = places.groupBy("term").agg(F.count(F.lit(1)).alias("n_term"))
+    rows = docs.select(F.coalesce("text", F.lit("")).alias("text")).select(_key(F.col("text")).alias("key"), "text")
+    terms = F.explode(F.array_distinct(_terms(F.col("text")))).alias("term")
+    # A text that repeats counts once: each of its rows counts for its part. Sums by term are made before anything moves.
+    copies = cut(found.groupBy(F.col("key").alias("copied")).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1"))
+    once = rows.join(small_side(copies, 40, HELD_BYTES), F.col("key") == F.col("copied"), "left")
+    per_term = once.select(F.coalesce(1 / F.col("copies"), F.lit(1.0)).alias("part"), terms).groupBy("term").agg(F.round(F.sum("part")).alias("n_term"))
     best = pairs.join(per_term, "term").groupBy("term").agg(F.max(share("n_term")).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
-    return cut(best.withColumn("action", action)), places
+    flagged = cut(best.withColumn("action", action))
+    return flagged, cut(rows.select("key", terms).join(small_side(flagged.select("term"), 64, HELD_BYTES), "term", "left_semi").distinct())
 
 
 def _term_spans(docs: DataFrame, flagged: DataFrame, places: DataFrame) -> DataFrame:
     """Spans of flagged terms by text: ``key``, ``terms`` (start, end, action)."""
-    wanted = places.join(small_side(flagged, 64), "term").groupBy("key").agg(
+    wanted = places.join(small_side(flagged, 64, HELD_BYTES), "term").groupBy("key").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions")
     )
     wanted = cut(wanted)
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", _key(F.col("text")))
-    some = texts.join(small_side(wanted, 512), F.col("text_key") == F.col("key"))
+    some = texts.join(small_side(wanted, 256, HELD_BYTES), F.col("text_key") == F.col("key"))
     words = F.array_join(F.sort_array(F.map_keys("actions")), "|")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), words, F.lit(r")(?!\p{L})"))
     spans = _spans(F.col("text"), pattern)
@@ -204,7 +222,7 @@ def detect(docs: DataFrame) -> DataFrame:
     found = cut(_found(docs))
     flagged, places = revealing_terms(found, docs)
     spans = cut(_term_spans(docs, flagged, places)).withColumnRenamed("key", "span_key")
-    joined = found.join(small_side(spans, 512), F.col("key") == F.col("span_key"), "left")
+    joined = found.join(small_side(spans, 256, HELD_BYTES), F.col("key") == F.col("span_key"), "left")
     all_base = F.concat(*KINDS)
     terms = F.coalesce("terms", F.array().cast("array<struct<start: int, end: int, action: string>>"))
     clear = F.filter(terms, lambda t: ~F.exists(all_base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))

@@ -70,6 +70,27 @@ def test_revealing_terms_are_spans_everywhere(corpus):
         assert words == (["zorblat"] if n < 20 or n >= 100 else [])
 
 
+def test_an_entity_in_one_text_and_in_two(table):
+    """The words that stand only with them are revealing; a word that is mostly elsewhere is not."""
+    rows = [(1, "the zorblat and often of ann@one.example the")]
+    rows += [(n, f"the quibber {n} and often of bob@two.example the") for n in (2, 3)]
+    rows += [(4, "that quibbers had the zorblat"), *((10 + n, f"the {prose(n, 20)} and often {n}") for n in range(60))]
+    got = {r.doc_id: r for r in pii.detect(table(rows)).collect()}
+    words = {n: [(text[t.start : t.end], t.action) for t in got[n].terms] for n, text in rows}
+    assert words[1] == words[4] == []
+    assert words[2] == words[3] == [("quibber", "generalise")]
+    got = {r.doc_id: r for r in pii.detect(table([r for r in rows if r[0] != 4])).collect()}
+    assert [(rows[0][1][t.start : t.end], t.action) for t in got[1].terms] == [("zorblat", "generalise")]
+    texts = {r.doc_id: r.text for r in pii.sanitise(table([r for r in rows if r[0] != 4])).collect()}
+    assert texts[1] == "the [TERM] and often of [EMAIL] the"
+
+
+def test_confidence_grows_with_the_texts(spark):
+    rows = spark.createDataFrame([(1, 1), (2, 2), (8, 8), (1, 2), (1, 10), (0, 3)], "hits long, of long")
+    got = [round(r[0], 3) for r in rows.select(pii._lower_end(rows.hits, rows.of)).collect()]
+    assert got == [0.27, 0.425, 0.747, 0.121, 0.023, 0.0]
+
+
 def test_sanitised_texts(corpus):
     texts = {r.doc_id: r.text for r in pii.sanitise(corpus).collect()}
     assert "bob" not in texts[3] and "[EMAIL]" in texts[3] and "orblat" not in texts[3].lower() and "orblat" not in texts[10].lower()
