@@ -2,10 +2,11 @@
 
 Templates and documents are words of letters and digits. Of every few consecutive word
 grams the one of least hash is a fingerprint, so any shared run of ``GRAM + WINDOW - 1``
-words shares one. An inverted index leads from fingerprints to templates and places;
-hits on nearby diagonals are one candidate, which is aligned word by word within a band
-around its diagonal (match 2, mismatch and gap -1, local). A report is an alignment that
-covers enough of its template.
+words shares one. An inverted index leads from fingerprints to templates and places.
+Bands of diagonals lie half over one another, and each with a hit is aligned word by word
+(match 2, mismatch and gap -1, local), again and again without the words used so far,
+until the words of the template left in the band can't cover enough of it. A report is an
+alignment that covers enough of its template.
 
 The index of the templates goes to every task. Its size is checked; the documents are
 gone through once and nothing is shuffled.
@@ -79,16 +80,25 @@ class Index:
         return cls(names, words, every[order], np.concatenate([*owners, np.zeros(0, int)])[order].astype(int), np.concatenate([*places, np.zeros(0, int)])[order].astype(int))
 
 
-def align(document: np.ndarray, template: np.ndarray, diagonal: int, band: int) -> list[tuple[int, int]]:
-    """Matching places ``(document, template)`` of the best local alignment within ``band`` of a diagonal."""
+def _equal(document: np.ndarray, template: np.ndarray, diagonal: int, band: int, free: np.ndarray | None) -> np.ndarray:
+    """Whether each word of the template equals the document's on each diagonal of a band."""
+    j = np.arange(len(template))[:, None] + diagonal + np.arange(-band, band + 1)
+    inside, at = (j >= 0) & (j < len(document)), np.clip(j, 0, len(document) - 1)
+    return inside & (document[at] == template[:, None]) & (True if free is None else free[at])
+
+
+def align(document: np.ndarray, template: np.ndarray, diagonal: int, band: int, free: np.ndarray | None = None) -> list[tuple[int, int]]:
+    """Matching places ``(document, template)`` of the best local alignment within ``band`` of a diagonal.
+
+    ``free`` marks the words of the document that may match.
+    """
     m, width = len(template), 2 * band + 1
     offsets = np.arange(-band, band + 1)
     scores = np.zeros((m + 1, width + 1), np.int64)
-    equal = np.zeros((m, width), bool)
+    equal = _equal(document, template, diagonal, band, free)
     for i in range(m):
         j = i + diagonal + offsets
         inside = (j >= 0) & (j < len(document))
-        equal[i] = inside & (document[np.clip(j, 0, len(document) - 1)] == template[i])
         step = scores[i, :width] + np.where(equal[i], 2, -1)
         row = np.maximum(np.maximum(step, scores[i, 1:] - 1), 0)
         row[~inside] = 0
@@ -111,33 +121,67 @@ def align(document: np.ndarray, template: np.ndarray, diagonal: int, band: int)
 
 
 def _candidates(index: Index, hashes: np.ndarray, places: np.ndarray, texts: np.ndarray) -> list[tuple[int, int, int]]:
-    """Text, template and diagonal of each candidate: hits of one template whose diagonals are a band apart at most."""
+    """Text, template and middle diagonal of each band that has a hit.
+
+    A band reaches from the middle of the one before to that of the next, so diagonals
+    that are a band's half apart at most have a band in common.
+    """
     left = np.searchsorted(index.hashes, hashes, "left")
     hit = np.flatnonzero((left < len(index.hashes)) & (index.hashes[np.minimum(left, max(len(index.hashes) - 1, 0))] == hashes)) if len(index.hashes) else np.zeros(0, int)
+    if not len(hit):
+        return []
     counts = np.searchsorted(index.hashes, hashes[hit], "right") - left[hit]
     entry = ranges(left[hit], counts)
     text, owner = np.repeat(texts[hit], counts), index.owners[entry]
     diagonal = np.repeat(places[hit], counts) - index.places[entry]
+    band = np.array([_band(len(w)) for w in index.words])[owner]
     found = []
-    order = np.lexsort((diagonal, owner, text))
-    group: list[int] = []
-    key = None
-    for t, n, d in zip(text[order].tolist(), owner[order].tolist(), diagonal[order].tolist(), strict=True):
-        if (t, n) != key or d - group[-1] > _band(len(index.words[n])):
-            if group:
-                found.append((*key, group))
-            key, group = (t, n), []
-        group.append(d)
-    if group:
-        found.append((*key, group))
-    # A longer template with a single hit shares a turn of phrase.
-    return [(t, n, g[len(g) // 2]) for t, n, g in found if len(g) > 1 or len(index.words[n]) < 20]
+    for step in (-1, 0, 1):
+        middle = (diagonal // band + step) * band
+        near = np.abs(diagonal - middle) <= band
+        found.append(np.stack([text[near], owner[near], middle[near]]))
+    return [tuple(c) for c in np.unique(np.concatenate(found, axis=1), axis=1).T.tolist()]
 
 
 def _band(words: int) -> int:
     return max(4, words // 8)
 
 
+def _alignments(document: np.ndarray, template: np.ndarray, diagonal: int, coverage: float) -> Iterator[list[tuple[int, int]]]:
+    """Alignments in a band that cover enough of the template, best first, with no word of the document in two."""
+    band, free = _band(len(template)), np.ones(len(document), bool)
+    # No alignment matches more words of the template than have an equal in the band.
+    while _equal(document, template, diagonal, band, free).any(axis=1).mean() >= coverage:
+        matches = align(document, template, diagonal, band, free)
+        if not matches:
+            return
+        if len(matches) / len(template) >= coverage:
+            yield matches
+        free[[d for d, _ in matches]] = False
+
+
+def _score(matches: list[tuple[int, int]]) -> int:
+    """What ``align`` counts for an alignment."""
+    return 2 * len(matches) - sum(max(d1 - d0, t1 - t0) - 1 for (d0, t0), (d1, t1) in zip(matches, matches[1:], strict=False))
+
+
+Place = tuple[int, int, int, list[tuple[int, int]]]  # score, text, template and matches
+
+
+def _apart(places: list[Place]) -> list[Place]:
+    """Of overlapping places of one template in a text the best, since bands overlap."""
+    kept: dict[tuple[int, int], list[Place]] = {}
+    for place in sorted(places, key=lambda p: (-p[0], p[1], p[2], p[3][0], p[3][-1])):
+        others = kept.setdefault((place[1], place[2]), [])
+        if not any(_overlap(place, o) for o in others):
+            others.append(place)
+    return sorted((p for own in kept.values() for p in own), key=lambda p: (p[1], p[3][0], p[2]))
+
+
+def _overlap(one: Place, two: Place) -> bool:
+    return one[3][0][0] <= two[3][-1][0] and two[3][0][0] <= one[3][-1][0]
+
+
 def _scan(batches: Iterator[pa.RecordBatch], index: Index, coverage: float) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for lo, hi, data, offsets in slices(batch.column("text")):
@@ -146,24 +190,22 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, coverage: float) -> I
             chosen = winnow(grams, first)
             texts = np.searchsorted(tokens.first, at[chosen], "right") - 1
             rows, names, shares, begins, ends, counts = [], [], [], [], [], []
-            seen = set()
+            places = []
             for text, n, diagonal in _candidates(index, grams[chosen], at[chosen] - tokens.first[texts], texts):
-                own = slice(int(tokens.first[text]), int(tokens.first[text + 1]))
-                template = index.words[n]
-                matches = align(tokens.hashes[own], template, diagonal, _band(len(template)))
-                share = len(matches) / len(template)
-                if share >= coverage and (text, n, matches[0][0], matches[-1][0]) not in seen:
-                    seen.add((text, n, matches[0][0], matches[-1][0]))
-                    raw = data[offsets[text] : offsets[text + 1]]
-                    begin = int(tokens.starts[own.start + matches[0][0]] - offsets[text])
-                    end = int(tokens.ends[own.start + matches[-1][0]] - offsets[text])
-                    points = (raw[:end] & 0xC0) != 0x80
-                    rows.append(text + lo)
-                    names.append(index.names[n])
-                    shares.append(share)
-                    begins.append(int(points[:begin].sum()))
-                    ends.append(int(points.sum()))
-                    counts.append(len(matches))
+                words = tokens.hashes[tokens.first[text] : tokens.first[text + 1]]
+                places += [(_score(m), text, n, m) for m in _alignments(words, index.words[n], diagonal, coverage)]
+            for _, text, n, matches in _apart(places):
+                own = int(tokens.first[text])
+                raw = data[offsets[text] : offsets[text + 1]]
+                begin = int(tokens.starts[own + matches[0][0]] - offsets[text])
+                end = int(tokens.ends[own + matches[-1][0]] - offsets[text])
+                points = (raw[:end] & 0xC0) != 0x80
+                rows.append(text + lo)
+                names.append(index.names[n])
+                shares.append(len(matches) / len(index.words[n]))
+                begins.append(int(points[:begin].sum()))
+                ends.append(int(points.sum()))
+                counts.append(len(matches))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").take(pa.array(rows)), pa.array(names), pa.array(shares), pa.array(counts, pa.int64()), pa.array(begins, pa.int64()), pa.array(ends, pa.int64())],

@@ -40,6 +40,20 @@ def test_several_places(table):
     assert sorted(r.span_start for r in rows if r.license == "MIT-line") == [0, len(line) + len(prose(3, 80)) + 2]
 
 
+def test_a_notice_inside_repeated_phrases(table):
+    notice = TEMPLATES["GPL-3.0-or-later"]
+    before, behind = ("\n".join(f"the gnu general public license {prose(k + 1000 * n, 1)}" for k in range(200)) for n in (1, 2))
+    text = f"{before}\n{notice}\n{behind}"
+    hit = found(table([(1, text)]))[1, "GPL-3.0-or-later"]
+    assert hit.coverage == 1 and abs(hit.span_start - len(before) - 1) < 2 and abs(hit.span_end - len(before) - len(notice)) < 2
+
+
+def test_places_side_by_side(table):
+    for name in ("MIT-line", "GPL-3.0-line", "ISC"):
+        rows = scan_licenses(table([(1, " ".join([TEMPLATES[name]] * 7))])).collect()
+        assert sorted(r.span_start for r in rows if r.license == name) == [k * (len(TEMPLATES[name]) + 1) for k in range(7)]
+
+
 def test_shared_runs_share_a_fingerprint():
     rng = np.random.default_rng(6)
     for _ in range(200):
