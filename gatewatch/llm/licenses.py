@@ -2,7 +2,8 @@
 
 Templates and documents are words of letters and digits. Of every few consecutive word
 grams the one of least hash is a fingerprint, so any shared run of ``GRAM + WINDOW - 1``
-words shares one. An inverted index leads from fingerprints to templates and places.
+words shares one. A short template is found by single words instead: whatever covers
+enough of it holds one of any few of its places. An inverted index leads to templates and places.
 Bands of diagonals lie half over one another, and each with a hit is aligned word by word
 (match 2, mismatch and gap -1, local), again and again without the words used so far,
 until the words of the template left in the band can't cover enough of it. A report is an
@@ -25,8 +26,12 @@ from gatewatch.llm.license_templates import TEMPLATES
 from gatewatch.llm.words import Tokens, ranges, slices, window_hashes
 
 GRAM, WINDOW = 3, 3
+#: Templates of fewer words are found by single words.
+SHORT = 20
 #: Least share of a template's words in an alignment that is reported.
 COVERAGE = 0.8
+#: A point of an alignment's score; what is below counts matches, so that of equal scores more matches win.
+_ONE = 1 << 24
 #: Most bytes of all templates.
 TEMPLATE_BYTES = 8 << 20
 
@@ -52,6 +57,13 @@ def _grams(tokens: Tokens) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return grams[at], at, np.concatenate([[0], np.cumsum(counts)])
 
 
+def _anchors(tokens: Tokens, coverage: float) -> np.ndarray:
+    """One place more than an alignment of that coverage can miss; longer words are rarer."""
+    size = len(tokens.hashes)
+    missed = sum(k / size < coverage for k in range(size + 1))
+    return np.argsort(tokens.starts - tokens.ends, kind="stable")[: size + 1 - missed]
+
+
 @dataclass
 class Index:
     names: list[str]
@@ -61,7 +73,7 @@ class Index:
     places: np.ndarray
 
     @classmethod
-    def of(cls, templates: Mapping[str, str]) -> Index:
+    def of(cls, templates: Mapping[str, str], coverage: float = COVERAGE) -> Index:
         if sum(len(t.encode()) for t in templates.values()) > TEMPLATE_BYTES:
             raise ValueError(f"templates of more than {TEMPLATE_BYTES} bytes; scan for them in several calls")
         names = sorted(templates)
@@ -70,8 +82,12 @@ class Index:
             raw = np.frombuffer(templates[name].encode(), np.uint8)
             tokens = Tokens(raw, np.array([0, len(raw)]))
             words.append(tokens.hashes)
-            grams, at, first = _grams(tokens)
-            chosen = winnow(grams, first)
+            if len(tokens.hashes) < SHORT:
+                grams, at = tokens.hashes, np.arange(len(tokens.hashes))
+                chosen = _anchors(tokens, coverage)
+            else:
+                grams, at, first = _grams(tokens)
+                chosen = winnow(grams, first)
             hashes.append(grams[chosen])
             places.append(at[chosen])
             owners.append(np.full(len(chosen), n))
@@ -99,21 +115,21 @@ def align(document: np.ndarray, template: np.ndarray, diagonal: int, band: int,
     for i in range(m):
         j = i + diagonal + offsets
         inside = (j >= 0) & (j < len(document))
-        step = scores[i, :width] + np.where(equal[i], 2, -1)
-        row = np.maximum(np.maximum(step, scores[i, 1:] - 1), 0)
+        step = scores[i, :width] + np.where(equal[i], 2 * _ONE + 1, -_ONE)
+        row = np.maximum(np.maximum(step, scores[i, 1:] - _ONE), 0)
         row[~inside] = 0
         # Gaps along the row: the best of all places before, less their distance.
-        row = np.maximum(row, np.maximum.accumulate(row + offsets) - offsets)
+        row = np.maximum(row, np.maximum.accumulate(row + _ONE * offsets) - _ONE * offsets)
         scores[i + 1, :width] = row
     i, o = np.unravel_index(int(scores.argmax()), scores.shape)
     matches = []
     while i > 0 and scores[i, o] > 0:
         here = scores[i, o]
-        if here == scores[i - 1, o] + (2 if equal[i - 1, o] else -1):
+        if here == scores[i - 1, o] + (2 * _ONE + 1 if equal[i - 1, o] else -_ONE):
             if equal[i - 1, o]:
                 matches.append((int(i - 1 + diagonal + offsets[o]), int(i - 1)))
             i -= 1
-        elif o + 1 <= width and here == scores[i - 1, o + 1] - 1:
+        elif o + 1 <= width and here == scores[i - 1, o + 1] - _ONE:
             i, o = i - 1, o + 1
         else:
             o -= 1
@@ -191,7 +207,11 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, coverage: float) -> I
             texts = np.searchsorted(tokens.first, at[chosen], "right") - 1
             rows, names, shares, begins, ends, counts = [], [], [], [], [], []
             places = []
-            for text, n, diagonal in _candidates(index, grams[chosen], at[chosen] - tokens.first[texts], texts):
+            # Fingerprints and single words, with the text and the place in it of each.
+            owners = np.repeat(np.arange(hi - lo), np.diff(tokens.first))
+            hashes, spots = np.concatenate([grams[chosen], tokens.hashes]), np.concatenate([at[chosen], np.arange(len(owners))])
+            texts = np.concatenate([texts, owners])
+            for text, n, diagonal in _candidates(index, hashes, spots - tokens.first[texts], texts):
                 words = tokens.hashes[tokens.first[text] : tokens.first[text + 1]]
                 places += [(_score(m), text, n, m) for m in _alignments(words, index.words[n], diagonal, coverage)]
             for _, text, n, matches in _apart(places):
@@ -220,12 +240,13 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, cov
     that match, in order), ``matched_words``, and ``span_start`` to ``span_end`` (code
     points, end exclusive).
 
-    * Case of A-Z and punctuation do not count. A template must have ``GRAM`` words or it is not found.
+    * Case of A-Z and punctuation do not count. A template of ``SHORT`` words and more is found where
+      ``GRAM + WINDOW - 1`` words in a row agree.
     * Templates that hold one another are each reported. Several places of one template give a row each.
     * Documents without a match, empty and NULL texts give no row; repeated rows give their
       rows each; ids may be NULL. Other columns are ignored. An empty table gives an empty result.
     """
-    held = docs.sparkSession.sparkContext.broadcast(Index.of(templates))
+    held = docs.sparkSession.sparkContext.broadcast(Index.of(templates, coverage))
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, license string, coverage double, matched_words long, span_start long, span_end long"
     return docs.select("doc_id", "text").mapInArrow(lambda batches: _scan(batches, held.value, coverage), schema)

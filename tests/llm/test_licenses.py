@@ -1,4 +1,6 @@
+import itertools
 import random
+import re
 
 import numpy as np
 import pytest
@@ -34,6 +36,18 @@ def test_changed_notices(table):
     assert set(got) == {(1, "MIT"), (2, "MIT")} and 0.85 < got[1, "MIT"].coverage < 1
 
 
+def test_changed_words_of_short_notices(table):
+    """Any words within the coverage changed, or a word put between all of them."""
+    rows, short = [], [n for n, t in TEMPLATES.items() if len(t.split()) < 15]
+    for name in short:
+        words = re.findall("[A-Za-z0-9]+", TEMPLATES[name])
+        for places in itertools.combinations(range(len(words)), len(words) // 5):
+            rows.append((name, " ".join(f"changed{k}" if k in places else w for k, w in enumerate(words))))
+        rows.append((name, " ".join(f"{w} extra{k}" if k % 2 else w for k, w in enumerate(words))))
+    got = found(table([(n, f"{prose(n, 30)} {text} {prose(n + 5000, 30)}") for n, (_, text) in enumerate(rows)]))
+    assert len(short) > 9 and [text for n, (name, text) in enumerate(rows) if (n, name) not in got] == []
+
+
 def test_several_places(table):
     line = TEMPLATES["MIT-line"]
     rows = scan_licenses(table([(7, f"{line}\n{prose(3, 80)}\n{line}")])).collect()
