@@ -194,6 +194,20 @@ def _apart(places: list[Place]) -> list[Place]:
     return sorted((p for own in kept.values() for p in own), key=lambda p: (p[1], p[3][0], p[2]))
 
 
+def _dominating(places: list[Place]) -> list[int | None]:
+    """For each place the template of the best place it overlaps that scores higher and is not dominated itself."""
+    winners: dict[int, list[Place]] = {}
+    out: list[int | None] = [None] * len(places)
+    for k in sorted(range(len(places)), key=lambda k: -places[k][0]):
+        place = places[k]
+        over = [w for w in winners.setdefault(place[1], []) if w[0] > place[0] and _overlap(w, place)]
+        if over:
+            out[k] = over[0][2]
+        else:
+            winners[place[1]].append(place)
+    return out
+
+
 def _overlap(one: Place, two: Place) -> bool:
     return one[3][0][0] <= two[3][-1][0] and two[3][0][0] <= one[3][-1][0]
 
@@ -205,7 +219,7 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, coverage: float) -> I
             grams, at, first = _grams(tokens)
             chosen = winnow(grams, first)
             texts = np.searchsorted(tokens.first, at[chosen], "right") - 1
-            rows, names, shares, begins, ends, counts = [], [], [], [], [], []
+            rows, names, shares, begins, ends, counts, dominated = [], [], [], [], [], [], []
             places = []
             # Fingerprints and single words, with the text and the place in it of each.
             owners = np.repeat(np.arange(hi - lo), np.diff(tokens.first))
@@ -214,7 +228,8 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, coverage: float) -> I
             for text, n, diagonal in _candidates(index, hashes, spots - tokens.first[texts], texts):
                 words = tokens.hashes[tokens.first[text] : tokens.first[text + 1]]
                 places += [(_score(m), text, n, m) for m in _alignments(words, index.words[n], diagonal, coverage)]
-            for _, text, n, matches in _apart(places):
+            places = _apart(places)
+            for (_, text, n, matches), better in zip(places, _dominating(places), strict=True):
                 own = int(tokens.first[text])
                 raw = data[offsets[text] : offsets[text + 1]]
                 begin = int(tokens.starts[own + matches[0][0]] - offsets[text])
@@ -226,10 +241,11 @@ def _scan(batches: Iterator[pa.RecordBatch], index: Index, coverage: float) -> I
                 begins.append(int(points[:begin].sum()))
                 ends.append(int(points.sum()))
                 counts.append(len(matches))
+                dominated.append(None if better is None else index.names[better])
             if rows:
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").take(pa.array(rows)), pa.array(names), pa.array(shares), pa.array(counts, pa.int64()), pa.array(begins, pa.int64()), pa.array(ends, pa.int64())],
-                    names=["doc_id", "license", "coverage", "matched_words", "span_start", "span_end"],
+                    [batch.column("doc_id").take(pa.array(rows)), pa.array(names), pa.array(shares), pa.array(counts, pa.int64()), pa.array(begins, pa.int64()), pa.array(ends, pa.int64()), pa.array(dominated, pa.string())],
+                    names=["doc_id", "license", "coverage", "matched_words", "span_start", "span_end", "dominated_by"],
                 )
 
 
@@ -237,16 +253,18 @@ def scan_licenses(docs: DataFrame, templates: Mapping[str, str] = TEMPLATES, cov
     """One row per place of ``docs`` (``doc_id``, ``text``) that covers a template.
 
     Returns ``doc_id``, ``license`` (the template's name), ``coverage`` (share of its words
-    that match, in order), ``matched_words``, and ``span_start`` to ``span_end`` (code
-    points, end exclusive).
+    that match, in order), ``matched_words``, ``span_start`` to ``span_end`` (code
+    points, end exclusive), and ``dominated_by``: the template that fits better in an
+    overlapping span. The licenses of a document are those of its rows where that is NULL.
 
     * Case of A-Z and punctuation do not count. A template of ``SHORT`` words and more is found where
       ``GRAM + WINDOW - 1`` words in a row agree.
-    * Templates that hold one another are each reported. Several places of one template give a row each.
+    * Templates that hold one another are each reported, and all but the best aligned marked;
+      equally good ones are not. Several places of one template give a row each.
     * Documents without a match, empty and NULL texts give no row; repeated rows give their
       rows each; ids may be NULL. Other columns are ignored. An empty table gives an empty result.
     """
     held = docs.sparkSession.sparkContext.broadcast(Index.of(templates, coverage))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, license string, coverage double, matched_words long, span_start long, span_end long"
+    schema = f"doc_id {kind}, license string, coverage double, matched_words long, span_start long, span_end long, dominated_by string"
     return docs.select("doc_id", "text").mapInArrow(lambda batches: _scan(batches, held.value, coverage), schema)

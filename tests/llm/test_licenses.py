@@ -48,6 +48,15 @@ def test_changed_words_of_short_notices(table):
     assert len(short) > 9 and [text for n, (name, text) in enumerate(rows) if (n, name) not in got] == []
 
 
+def test_near_templates_are_told_apart(table):
+    families = (["GPL-2.0-line", "GPL-3.0-line"], ["CC-BY-4.0-line", "CC-BY-NC-4.0-line", "CC-BY-SA-4.0-line"], ["CC-BY-4.0", "CC-BY-NC-4.0", "CC-BY-SA-4.0"])
+    names = [n for family in families for n in family] + ["Apache-2.0", "GPL-3.0-or-later"]
+    rows = scan_licenses(table([(n, f"{prose(n, 40)} {TEMPLATES[name]} {prose(n + 90, 40)}") for n, name in enumerate(names)])).collect()
+    assert sorted((r.doc_id, r.license) for r in rows if r.dominated_by is None) == list(enumerate(names))
+    marked = {(names[r.doc_id], r.license) for r in rows if r.dominated_by == names[r.doc_id]}
+    assert {("GPL-3.0-line", "GPL-2.0-line"), ("CC-BY-NC-4.0-line", "CC-BY-4.0-line"), ("CC-BY-SA-4.0", "CC-BY-4.0"), ("Apache-2.0", "Apache-2.0-line")} <= marked
+
+
 def test_several_places(table):
     line = TEMPLATES["MIT-line"]
     rows = scan_licenses(table([(7, f"{line}\n{prose(3, 80)}\n{line}")])).collect()
