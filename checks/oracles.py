@@ -6,6 +6,9 @@ Windows, joins and ranks are written out literally here (copied hops, range join
 
 from __future__ import annotations
 
+#: The days that the backfill entries rebuild.
+IN_BACKFILL = "event_time >= TIMESTAMP '2024-01-10' AND event_time < TIMESTAMP '2024-01-20'"
+
 CTES = {
     "auth": """
         SELECT CAST(event_id AS VARCHAR) AS event_id, ts AS event_time, 'U' || user_id AS user_id,
@@ -697,9 +700,41 @@ def oracle_sql() -> dict[str, str]:
                FROM backfilled GROUP BY 1, 2""",
             "backfilled",
         ),
+        "job_backfill_wide": sql(f"SELECT * FROM wide WHERE {IN_BACKFILL}", "wide"),
+        "job_backfill_host_risk": sql(
+            f"""SELECT CAST(event_time AS DATE) AS date, computer_id, count(DISTINCT user_id) AS unique_users,
+                      count(*) AS total_logins,
+                      count(*) FILTER (WHERE risk_level IN ('HIGH', 'CRITICAL')) AS high_risk_events,
+                      strftime(event_time, '%Y-%m-%d') AS event_date
+               FROM wide WHERE {IN_BACKFILL} GROUP BY 1, 2, 6""",
+            "wide",
+        ),
+        "job_backfill_user_risk": sql(
+            f"""SELECT *, strftime(window_start, '%Y-%m-%d') AS event_date FROM risk_hourly
+               WHERE strftime(window_start, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-19'""",
+            "risk_hourly",
+        ),
+        "job_backfill_features": sql(
+            f"""SELECT {FEATURE_COLUMNS}, strftime(window_start, '%Y-%m-%d') AS event_date FROM features
+               WHERE strftime(window_start, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-19'""",
+            "features",
+        ),
+        "job_refresh_changed": sql("SELECT * FROM wide", "wide"),
+        "job_refresh_changed_features": sql(f"SELECT {FEATURE_COLUMNS} FROM features", "features"),
+        "job_refresh_changed_curated": sql(f"SELECT {CURATED_COLUMNS} FROM curated", "curated"),
         # streams
         "stream_dedup": sql("SELECT event_id, event_time, user_id, computer_id FROM auth", "auth"),
         "stream_first_seen": sql("SELECT event_id, user_id, computer_id, is_new_device FROM flagged", "flagged"),
+        "stream_first_seen_ttl": sql(
+            """SELECT event_id, event_id = first_id AND (before IS NULL OR event_time - before > INTERVAL 3 DAY)
+                      AS is_new_device FROM spans""",
+            "spans",
+        ),
+        "stream_rolling_activity": sql(
+            """SELECT event_id, login_count_1h, unique_computers_1h, login_count_24h, unique_computers_24h
+               FROM rolling""",
+            "rolling",
+        ),
         "stream_features": sql(
             f"SELECT {FEATURE_COLUMNS} FROM features", "features"
         ),

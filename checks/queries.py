@@ -18,13 +18,13 @@ from gatewatch.operators.enrich import attach_features, attach_window_features
 from gatewatch.operators.features import compute_rolling_windows, window_features
 from gatewatch.operators.firstseen import flag_new_devices, merge_seen_pairs, new_pairs, seen_pairs
 from gatewatch.operators.rolling import rolling_activity
-from gatewatch.plans import analytics, jobs, kpis, quality
+from gatewatch.plans import analytics, changes, jobs, kpis, quality
 from gatewatch.plans.curated import build_curated, build_features, build_raw, build_wide, clean_events
 from gatewatch.session import prepare, scratch_path
 from gatewatch.sources import payload, tables, validate
 from gatewatch.sources.activity import auth_events, between
 from gatewatch.sources.logs import parse_lines
-from gatewatch.streaming import pipeline, tail
+from gatewatch.streaming import pipeline, rolling, tail
 
 # The test data never reaches the default thresholds, so these are lower.
 SCALED = PipelineConfig(
@@ -191,8 +191,8 @@ class Inputs:
         query.awaitTermination()
         return self.spark.read.schema(stream.schema).parquet(f"{path}/table")
 
-    def flagged_stream(self) -> DataFrame:
-        return pipeline.flagged_stream(self.stream(), StreamConfig())
+    def flagged_stream(self, **options) -> DataFrame:
+        return pipeline.flagged_stream(self.stream(), StreamConfig(**options))
 
     def backfilled(self) -> TablePaths:
         """Raw table of all events, then ten days rebuilt from it, twice."""
@@ -203,6 +203,36 @@ class Inputs:
         return paths
 
 
+    def changed(self) -> TablePaths:
+        """All tables built from a part of the events, then brought up to date with the rest.
+
+        The rest holds events of all days, among them first ones of pairs that the part has
+        later, so days are built again that no new file belongs to.
+        """
+        paths = TablePaths(scratch_path(self.spark, "changed"))
+        part = F.dayofmonth("event_time") % 2 == 0
+        jobs.ingest(self.events.filter(part), paths)
+        changes.refresh_changed(self.spark, paths, SCALED)
+        jobs.ingest(self.events.filter(~part), paths)
+        changes.refresh_changed(self.spark, paths, SCALED)
+        return paths
+
+    def wide_days(self) -> TablePaths:
+        """Ten wide days and the rollups of them, built twice from the raw table."""
+        paths = TablePaths(scratch_path(self.spark, "wide"))
+        jobs.ingest(self.events, paths)
+        for _ in range(2):
+            jobs.backfill_wide(self.spark, paths, *BACKFILL, cfg=SCALED)
+        return paths
+
+    def feature_days(self) -> TablePaths:
+        paths = TablePaths(scratch_path(self.spark, "features"))
+        jobs.ingest(self.events, paths)
+        for _ in range(2):
+            jobs.backfill_features(self.spark, paths, *BACKFILL, cfg=SCALED)
+        return paths
+
+
 def _scan_lines(i: Inputs) -> DataFrame:
     return parse_lines(i.lines).select("event_time", "user_id", "computer_id", "event_id", "success")
 
@@ -457,6 +487,13 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "job_ingest_twice": _ingested_twice,
     "events_without_ids": _without_ids,
     "job_backfill_hosts": lambda i: tables.host_popularity_daily(i.spark, i.backfilled()),
+    "job_backfill_wide": lambda i: tables.wide_events(i.spark, i.wide_days()).drop("src_host"),
+    "job_backfill_host_risk": lambda i: tables.host_risk_daily(i.spark, i.wide_days()),
+    "job_backfill_user_risk": lambda i: tables.user_risk_hourly(i.spark, i.wide_days()),
+    "job_backfill_features": lambda i: tables.stored_features(i.spark, i.feature_days()),
+    "job_refresh_changed": lambda i: tables.wide_events(i.spark, i.changed()).drop("src_host"),
+    "job_refresh_changed_features": lambda i: tables.features(i.spark, i.changed()),
+    "job_refresh_changed_curated": lambda i: tables.curated_events(i.spark, i.changed()),
     # streams
     "stream_dedup": lambda i: i.drained(pipeline.unique_stream(i.stream(), "5 minutes"), "stream-dedup").select(
         "event_id", "event_time", "user_id", "computer_id"
@@ -464,6 +501,12 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "stream_first_seen": lambda i: i.drained(i.flagged_stream(), "stream-first-seen").select(
         "event_id", "user_id", "computer_id", "is_new_device"
     ),
+    "stream_first_seen_ttl": lambda i: i.drained(i.flagged_stream(state_ttl="3 days"), "stream-ttl").select(
+        "event_id", "is_new_device"
+    ),
+    "stream_rolling_activity": lambda i: i.drained(
+        rolling.rolling_stream(pipeline.unique_stream(i.stream(), "5 minutes")), "stream-rolling"
+    ).select("event_id", "login_count_1h", "unique_computers_1h", "login_count_24h", "unique_computers_24h"),
     "stream_features": _features_stream,
     "stream_curated": _curated_stream,
 }

@@ -102,6 +102,22 @@ class TablePaths:
     def curated(self) -> str:
         return self.path("curated/auth_events_curated")
 
+    @property
+    def wide(self) -> str:
+        return self.path("curated/auth_events_wide")
+
+    @property
+    def user_risk_hourly(self) -> str:
+        return self.path("aggregates/user_risk_hourly")
+
+    @property
+    def host_risk_daily(self) -> str:
+        return self.path("aggregates/host_risk_daily")
+
+    @property
+    def ledger(self) -> str:
+        return self.path("state/raw_files")
+
     @property
     def user_behavior_hourly(self) -> str:
         return self.path("aggregates/user_behavior_hourly")
@@ -112,7 +128,7 @@ class TablePaths:
 
     @property
     def seen_pairs(self) -> str:
-        return self.path("state/seen_pairs")
+        return self.path("state/pair_history")
 
     @property
     def dead_letters(self) -> str:

@@ -41,14 +41,15 @@ def _pair_slots(events: DataFrame, width: int, history: DataFrame | None = None)
     if flagged:
         counts.append(F.bool_or(F.coalesce("is_new_device", F.lit(False))).alias("is_new"))
     slots = events.groupBy(*PAIR, slot("event_time", width).alias("slot")).agg(*counts)
-    near = with_neighbours(slots, PAIR, "slot")
     if flagged:
-        return near
+        return with_neighbours(slots, PAIR, "slot")
     if history is None:
-        return near.withColumn("is_new", F.col("prev").isNull())
+        return with_neighbours(slots, PAIR, "slot").withColumn("is_new", F.col("prev").isNull())
+    # Joined before the pairs are laid out for their neighbours: a bucketed history then
+    # decides the layout of both steps and stays where it is.
     known = history.select(*PAIR, F.lit(True).alias("_known"))
     return (
-        near.join(known, PAIR, "left")
+        with_neighbours(slots.join(known, PAIR, "left"), PAIR, "slot")
         .withColumn("is_new", F.col("prev").isNull() & F.col("_known").isNull())
         .drop("_known")
     )

@@ -7,11 +7,14 @@ from datetime import date, timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gatewatch import schemas
 from gatewatch.config import PipelineConfig, TablePaths
 from gatewatch.functions.times import before_day, event_date, within, within_days
-from gatewatch.operators.firstseen import PAIR, merge_seen_pairs, seen_pairs
-from gatewatch.operators.rollups import host_popularity_daily, user_behavior_hourly
-from gatewatch.plans.curated import build_curated, clean_events
+from gatewatch.operators.features import window_features
+from gatewatch.operators.firstseen import seen_pairs
+from gatewatch.operators.rollups import host_popularity_daily, host_risk_daily, user_behavior_hourly, user_risk_hourly
+from gatewatch.plans.curated import build_curated, build_wide, clean_events
+from gatewatch.plans.history import append_pairs, known_pairs
 from gatewatch.plans.tables import append_table, days, has_files, refresh_days
 from gatewatch.session import materialize, prepare
 from gatewatch.sources import tables as scans
@@ -78,9 +81,7 @@ def ingest(events: DataFrame, tables: TablePaths, margin_days: int = 1) -> None:
 def history_before(spark: SparkSession, tables: TablePaths, moment: date, stored: bool = False) -> DataFrame:
     """Pairs first seen before ``moment``: from the stored history, or from raw events."""
     if stored:
-        return merge_seen_pairs(scans.seen_pairs(spark, tables)).filter(
-            F.col("first_seen") < F.lit(moment).cast("timestamp")
-        )
+        return known_pairs(spark, tables).filter(F.col("first_seen") < F.lit(moment).cast("timestamp"))
     raw = scans.raw_events(spark, tables)
     return seen_pairs(raw.filter(before_day(moment)))
 
@@ -100,15 +101,57 @@ def backfill_curated(
     """
     cfg = cfg or PipelineConfig()
     prepare(spark)
-    reach = timedelta(days=-(-max(cfg.day_hop.duration, cfg.hour_hop.duration) // 86400))
-    since_day = start - reach
-    stored = scans.stored_events(spark, tables)
-    events = stored.filter(within_days(since_day, end)).drop("event_date", "is_new_device")
-    history = history_before(spark, tables, since_day, stored_history)
+    events, history = _events_and_history(spark, tables, start - reach(cfg), end, stored_history)
     curated = build_curated(events, cfg, history=history, unique=True).filter(within("event_time", start, end))
     refresh_days(curated, tables.curated, ["event_date"], start, end)
 
 
+def reach(cfg: PipelineConfig) -> timedelta:
+    """Whole days that a window reaches back."""
+    return timedelta(days=-(-max(cfg.day_hop.duration, cfg.hour_hop.duration) // 86400))
+
+
+def _events_and_history(spark: SparkSession, tables: TablePaths, start: date, end: date, stored_history: bool) -> tuple[DataFrame, DataFrame]:
+    """Raw events of ``[start, end)``, and the pairs known before them."""
+    stored = scans.stored_events(spark, tables)
+    events = stored.filter(within_days(start, end)).drop("event_date", "is_new_device")
+    return events, history_before(spark, tables, start, stored_history)
+
+
+def backfill_wide(
+    spark: SparkSession, tables: TablePaths, start: date, end: date, cfg: PipelineConfig | None = None, stored_history: bool = False
+) -> None:
+    """Rebuild the wide days ``[start, end)`` from raw events, and the risk rollups from them.
+
+    Rolling counts reach back a day. Host rarity needs whole days, which these are.
+    """
+    cfg = cfg or PipelineConfig()
+    prepare(spark)
+    events, history = _events_and_history(spark, tables, start - timedelta(days=1), end, stored_history)
+    wide = build_wide(events, cfg, history=history, unique=True).filter(within("event_time", start, end))
+    refresh_days(wide.select(*schemas.WIDE.names), tables.wide, ["event_date"], start, end)
+    scored = scans.wide_events(spark, tables).filter(within_days(start, end))
+    hourly = user_risk_hourly(scored).withColumn("event_date", event_date("window_start"))
+    refresh_days(hourly.select(*schemas.USER_RISK_HOURLY.names), tables.user_risk_hourly, ["event_date"], start, end)
+    daily = host_risk_daily(scored).withColumn("event_date", F.col("date").cast("string"))
+    refresh_days(daily.select(*schemas.HOST_RISK_DAILY.names), tables.host_risk_daily, ["event_date"], start, end)
+
+
+def backfill_features(
+    spark: SparkSession, tables: TablePaths, start: date, end: date, cfg: PipelineConfig | None = None, stored_history: bool = False
+) -> None:
+    """Rebuild the feature rows whose windows begin on the days ``[start, end)``; their events reach beyond ``end``."""
+    cfg = cfg or PipelineConfig()
+    prepare(spark)
+    events, history = _events_and_history(spark, tables, start, end + reach(cfg), stored_history)
+    rows = window_features(events, [cfg.hour_hop, cfg.day_hop], history).filter(within("window_start", start, end))
+    rows = rows.withColumn("event_date", event_date("window_start"))
+    sizes = [cfg.hour_hop.label, cfg.day_hop.label]
+    refresh_days(
+        rows.select(*schemas.FEATURES_STORED.names), tables.features, ["event_date", "window_size"], start, end, below={"window_size": sizes}
+    )
+
+
 def recompute_aggregates(spark: SparkSession, tables: TablePaths, start: date, end: date) -> None:
     run_daily(spark, tables, start, end)
 
@@ -129,15 +172,7 @@ def backfill(
 def merge_history(spark: SparkSession, tables: TablePaths, start: date, end: date) -> None:
     """Add the pairs of raw days ``[start, end)`` to the stored history.
 
-    Pairs are appended; readers take the earliest and the latest time of a pair, so running
-    this twice or out of order changes nothing. Pairs that add no time are not written.
+    Running this twice or out of order changes nothing. Pairs that add no time are not written.
     """
     prepare(spark)
-    found = seen_pairs(scans.raw_events(spark, tables).filter(within_days(start, end)))
-    if has_files(spark, tables.seen_pairs):
-        known = merge_seen_pairs(scans.seen_pairs(spark, tables)).select(
-            *PAIR, F.col("first_seen").alias("_first"), F.col("last_seen").alias("_last")
-        )
-        wider = F.col("_first").isNull() | (F.col("first_seen") < F.col("_first")) | (F.col("last_seen") > F.col("_last"))
-        found = found.join(known, PAIR, "left").filter(wider).drop("_first", "_last")
-    found.write.mode("append").parquet(tables.seen_pairs)
+    append_pairs(spark, tables, seen_pairs(scans.raw_events(spark, tables).filter(within_days(start, end))))

@@ -8,14 +8,18 @@ from pyspark.sql import DataFrame, SparkSession
 
 from gatewatch import schemas
 from gatewatch.config import TablePaths
+from gatewatch.functions.times import event_date
 
 # Partition columns per table.
 PARTITIONS = {
     "auth_events_raw": ["event_date"],
     "auth_events_curated": ["event_date"],
-    "auth_user_features": ["window_size"],
+    "auth_events_wide": ["event_date"],
+    "auth_user_features": ["event_date", "window_size"],
     "user_behavior_hourly": ["event_date", "window_size"],
+    "user_risk_hourly": ["event_date"],
     "host_popularity_daily": ["event_date"],
+    "host_risk_daily": ["event_date"],
 }
 
 
@@ -24,9 +28,12 @@ def table_layout(tables: TablePaths) -> dict:
     places = {
         "auth_events_raw": (schemas.RAW, tables.raw),
         "auth_events_curated": (schemas.CURATED, tables.curated),
-        "auth_user_features": (schemas.FEATURES, tables.features),
+        "auth_events_wide": (schemas.WIDE, tables.wide),
+        "auth_user_features": (schemas.FEATURES_STORED, tables.features),
         "user_behavior_hourly": (schemas.USER_BEHAVIOR_HOURLY, tables.user_behavior_hourly),
+        "user_risk_hourly": (schemas.USER_RISK_HOURLY, tables.user_risk_hourly),
         "host_popularity_daily": (schemas.HOST_POPULARITY_DAILY, tables.host_popularity_daily),
+        "host_risk_daily": (schemas.HOST_RISK_DAILY, tables.host_risk_daily),
     }
     return {name: (schema, path, PARTITIONS[name]) for name, (schema, path) in places.items()}
 
@@ -49,9 +56,10 @@ def create_tables(spark: SparkSession, tables: TablePaths, database: str = "gate
 
 
 def register_partitions(spark: SparkSession, tables: TablePaths, database: str = "gatewatch") -> None:
-    """Make partitions written by path visible to the catalog tables."""
-    for name in table_layout(tables):
-        spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
+    """Make partitions written by path visible to the catalog tables; tables not written yet have none."""
+    for name, (_, path, _) in table_layout(tables).items():
+        if has_files(spark, path):
+            spark.sql(f"MSCK REPAIR TABLE {database}.{name}")
 
 
 def balanced(df: DataFrame, partitions: list[str]) -> DataFrame:
@@ -65,9 +73,9 @@ def append_table(df: DataFrame, path: str, partitions: list[str]) -> None:
 
 
 def insert_features(features: DataFrame, path: str, columns: list[str] | None = None) -> None:
-    """Append feature rows, or a chosen set of their columns, by window size."""
+    """Append feature rows, or a chosen set of their columns, by the day of their start and window size."""
     chosen = features if columns is None else features.select(*columns)
-    append_table(chosen, path, ["window_size"])
+    append_table(chosen.withColumn("event_date", event_date("window_start")), path, ["event_date", "window_size"])
 
 
 def days(start: date, end: date) -> list[date]:
@@ -82,6 +90,12 @@ def _folder(spark: SparkSession, path: str):
     return folder.getFileSystem(spark._jsc.hadoopConfiguration()), folder
 
 
+def list_folder(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it does not exist."""
+    filesystem, folder = _folder(spark, path)
+    return [f.getPath().getName() for f in filesystem.listStatus(folder)] if filesystem.exists(folder) else []
+
+
 def make_folder(spark: SparkSession, path: str) -> None:
     filesystem, folder = _folder(spark, path)
     filesystem.mkdirs(folder)
@@ -120,7 +134,7 @@ def refresh_days(
     partitions: list[str],
     start: date,
     end: date,
-    below: dict[str, str] | None = None,
+    below: dict[str, str | list[str]] | None = None,
 ) -> None:
     """Replace the days ``[start, end)`` of a table with ``df``, however often it is run.
 
@@ -131,8 +145,9 @@ def refresh_days(
     """
     spark = df.sparkSession
     _require_batch_table(spark, path)
-    suffix = "".join(f"/{column}={value}" for column, value in (below or {}).items())
-    owned = [f"{path}/event_date={day.isoformat()}{suffix}" for day in days(start, end)]
+    owned = [f"{path}/event_date={day.isoformat()}" for day in days(start, end)]
+    for column, values in (below or {}).items():
+        owned = [f"{folder}/{column}={value}" for folder in owned for value in ([values] if isinstance(values, str) else values)]
     before = {folder: _first_file(spark, folder) for folder in owned}
     (
         balanced(df, partitions)

@@ -80,6 +80,55 @@ FEATURES = _struct(
     ("has_new_device", BooleanType()),
 )
 
+# The feature table is stored by the day its windows begin, and by window length.
+FEATURES_STORED = _struct(
+    *((f.name, f.dataType) for f in FEATURES if f.name != "window_size"),
+    ("event_date", StringType()),
+    ("window_size", StringType()),
+)
+
+# Events with rolling counts, indicators, score and level.
+WIDE = _struct(
+    *((f.name, f.dataType) for f in EVENTS),
+    ("login_count_1h", LongType()),
+    ("unique_computers_1h", LongType()),
+    ("login_count_24h", LongType()),
+    ("unique_computers_24h", LongType()),
+    ("is_new_device", IntegerType()),
+    ("is_rare_host", IntegerType()),
+    ("is_burst_login", IntegerType()),
+    ("is_lateral_movement", IntegerType()),
+    ("risk_flags", ArrayType(StringType())),
+    ("risk_score", IntegerType()),
+    ("risk_level", StringType()),
+    ("event_date", StringType()),
+)
+
+# Risk of users per hour and of hosts per day, from wide events.
+USER_RISK_HOURLY = _struct(
+    ("window_start", TimestampType()),
+    ("window_end", TimestampType()),
+    ("user_id", StringType()),
+    ("total_logins", LongType()),
+    ("unique_computers", LongType()),
+    ("anomaly_count", LongType()),
+    ("total_risk_score", LongType()),
+    ("max_risk_score", IntegerType()),
+    ("event_date", StringType()),
+)
+
+HOST_RISK_DAILY = _struct(
+    ("date", DateType()),
+    ("computer_id", StringType()),
+    ("unique_users", LongType()),
+    ("total_logins", LongType()),
+    ("high_risk_events", LongType()),
+    ("event_date", StringType()),
+)
+
+# Raw files that the stored tables account for.
+LEDGER = _struct(("file", StringType()), ("event_date", StringType()))
+
 # The hourly rollup adds the day of window_start as a partition column.
 USER_BEHAVIOR_HOURLY = _struct(
     *((f.name, f.dataType) for f in FEATURES if f.name != "window_size"),

@@ -27,7 +27,24 @@ def curated_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
 
 
 def features(spark: SparkSession, tables: TablePaths) -> DataFrame:
-    return read_table(spark, tables.features, schemas.FEATURES)
+    return stored_features(spark, tables).select(*schemas.FEATURES.names)
+
+
+def stored_features(spark: SparkSession, tables: TablePaths) -> DataFrame:
+    """The feature table with ``event_date``, the day its windows begin, by which scans are pruned."""
+    return read_table(spark, tables.features, schemas.FEATURES_STORED)
+
+
+def wide_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
+    return read_table(spark, tables.wide, schemas.WIDE)
+
+
+def user_risk_hourly(spark: SparkSession, tables: TablePaths) -> DataFrame:
+    return read_table(spark, tables.user_risk_hourly, schemas.USER_RISK_HOURLY)
+
+
+def host_risk_daily(spark: SparkSession, tables: TablePaths) -> DataFrame:
+    return read_table(spark, tables.host_risk_daily, schemas.HOST_RISK_DAILY)
 
 
 def user_behavior_hourly(spark: SparkSession, tables: TablePaths) -> DataFrame:
@@ -37,6 +54,3 @@ def user_behavior_hourly(spark: SparkSession, tables: TablePaths) -> DataFrame:
 def host_popularity_daily(spark: SparkSession, tables: TablePaths) -> DataFrame:
     return read_table(spark, tables.host_popularity_daily, schemas.HOST_POPULARITY_DAILY)
 
-
-def seen_pairs(spark: SparkSession, tables: TablePaths) -> DataFrame:
-    return read_table(spark, tables.seen_pairs, schemas.SEEN_PAIRS)

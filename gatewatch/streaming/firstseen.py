@@ -3,6 +3,11 @@
 State is sharded by a hash of (user, host). Each pair is decided on its own, so this
 gives the same flags as one map per user, while a very busy user is spread over all
 shards, and a micro-batch starts the Python code once per shard instead of per user.
+
+The rows of a shard pass through in batches. Only what may still change waits for the end
+of the micro-batch: of each pair the earliest event of every run of events without a gap
+longer than the TTL. All other events cannot be first and leave at once, so a backlog needs
+memory for its different pairs, not for its events.
 """
 
 from __future__ import annotations
@@ -10,12 +15,13 @@ from __future__ import annotations
 import sys
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
-from pyspark.sql.types import BooleanType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, BooleanType, IntegerType, LongType, StringType, StructField, StructType
 
 from gatewatch import schemas
 from gatewatch.config import duration_seconds
@@ -23,8 +29,16 @@ from gatewatch.operators.firstseen import PAIR, last_seen
 
 EVENT_FIELDS = schemas.EVENTS.fields
 FLAGGED = StructType([*EVENT_FIELDS, StructField("is_new_device", BooleanType())])
+_NAMES = [f.name for f in EVENT_FIELDS]
 _PAIR_KEY = StructType([StructField("user_id", StringType()), StructField("computer_id", StringType())])
-_LAST_SEEN = StructType([StructField("last_seen_ms", LongType())])
+# When a pair was last seen, and the bucket of the expiry index that lists it.
+_LAST_SEEN = StructType([StructField("last_seen_us", LongType()), StructField("bucket", LongType())])
+_BUCKET = StructType([StructField("bucket", LongType())])
+_PARTS = StructType([StructField("parts", IntegerType())])
+_PART_KEY = StructType([StructField("bucket", LongType()), StructField("part", IntegerType())])
+_PART = StructType([StructField("users", ArrayType(StringType())), StructField("computers", ArrayType(StringType()))])
+#: Buckets of the expiry index per TTL; a pair is forgotten at most one bucket later than it could be.
+_BUCKETS = 8
 
 # Send the processor with the query: workers then need no copy of this package.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -33,54 +47,120 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 class FirstSeenFlagger(StatefulProcessor):
     """Keeps the last time each pair was seen; a pair absent from the map is new.
 
-    The rows of a shard in one micro-batch are held together to bring them in order, so
-    the source's rate bounds, divided by the number of shards, bound the memory needed.
+    With a TTL, pairs are listed by the time bucket in which they expire. Each bucket has a
+    timer, which looks at the pairs of its bucket only; a pair seen since then is listed in
+    a later one.
     """
 
-    def __init__(self, ttl_ms: int | None = None):
-        self.ttl_ms = ttl_ms
+    def __init__(self, ttl_us: int | None = None):
+        self.ttl = ttl_us
+        self.width = None if ttl_us is None else max(ttl_us // _BUCKETS, 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.pairs = handle.getMapState("pairs", _PAIR_KEY, _LAST_SEEN)
+        if self.ttl is not None:
+            self.parts = handle.getMapState("expiry_parts", _BUCKET, _PARTS)
+            self.listed = handle.getMapState("expiry", _PART_KEY, _PART)
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
-        pairs = zip(initialState["user_id"], initialState["computer_id"], initialState["last_seen"])
-        for user, host, seen in pairs:
-            self.pairs.updateValue((user, host), (int(pd.Timestamp(seen).timestamp() * 1000),))
+        seen = pd.to_datetime(initialState["last_seen"], utc=True).astype("datetime64[us, UTC]").astype("int64")
+        self._store(dict(zip(zip(initialState["user_id"], initialState["computer_id"]), seen.tolist())), {})
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch.sort_values(["event_time", "event_id"], kind="stable")
-        times = batch["event_time"].astype("datetime64[ms]").astype("int64")
-        last_seen, changed, flags = {}, set(), []
-        for user, host, at in zip(batch["user_id"].tolist(), batch["computer_id"].tolist(), times.tolist()):
-            pair = (user, host)
-            if pair not in last_seen:
-                stored = self.pairs.getValue(pair)
-                last_seen[pair] = None if stored is None else stored[0]
-            before = last_seen[pair]
-            expired = self.ttl_ms is not None and before is not None and at - before > self.ttl_ms
-            flags.append(before is None or expired)
-            if before is None or (self.ttl_ms is not None and at > before):
-                last_seen[pair] = at
-                changed.add(pair)
-        for pair in changed:
-            self.pairs.updateValue(pair, (last_seen[pair],))
-        self._keep_timer(timerValues)
-        yield batch[[f.name for f in EVENT_FIELDS]].assign(is_new_device=flags)
-
-    def _keep_timer(self, timerValues) -> None:
-        """With a TTL, look for expired pairs every eighth of it; one timer per shard."""
-        if self.ttl_ms is not None and next(iter(self.handle.listTimers()), None) is None:
-            self.handle.registerTimer(timerValues.getCurrentWatermarkInMs() + max(self.ttl_ms // 8, 1))
+        # Per pair: when last seen before this micro-batch, and its runs as [first, last, earliest event].
+        known: dict[tuple, tuple | None] = {}
+        runs: dict[tuple, list[list]] = {}
+        kinds: dict = {}
+        for batch in rows:
+            kinds = batch.dtypes[_NAMES].to_dict()
+            passed, leads = self._runs(batch)
+            yield self._flagged(batch.iloc[passed], False)
+            displaced = []
+            for pair, first, last, event in leads:
+                if pair not in runs:
+                    known[pair], runs[pair] = self.pairs.getValue(pair), []
+                self._add(runs[pair], [first, last, event], displaced)
+            if displaced:
+                yield self._flagged(pd.DataFrame(displaced, columns=_NAMES).astype(kinds), False)
+        held, flags, latest = [], [], {}
+        for pair, found in runs.items():
+            before = None if known[pair] is None else known[pair][0]
+            for first, _, event in found:
+                held.append(event)
+                flags.append(before is None or (self.ttl is not None and first - before > self.ttl))
+            last = max(run[1] for run in found)
+            if before is None or (self.ttl is not None and last > before):
+                latest[pair] = last
+        if held:
+            yield self._flagged(pd.DataFrame(held, columns=_NAMES).astype(kinds), flags)
+        self._store(latest, known)
+
+    def _runs(self, batch: pd.DataFrame):
+        """Places of events that follow another of their run, and the first event of each run."""
+        times = batch["event_time"].astype("datetime64[us]").astype("int64").to_numpy()
+        pair = batch.groupby(PAIR, sort=False, dropna=False).ngroup().to_numpy()
+        order = np.lexsort((batch["event_id"].to_numpy().astype(str), times, pair))
+        at, pair = times[order], pair[order]
+        leads = np.ones(len(at), bool)
+        leads[1:] = pair[1:] != pair[:-1]
+        if self.ttl is not None:
+            leads[1:] |= at[1:] - at[:-1] > self.ttl
+        starts = np.flatnonzero(leads)
+        ends = np.append(starts[1:], len(at)) - 1
+        firsts = batch.iloc[order[starts]]
+        events = list(firsts[_NAMES].itertuples(index=False, name=None))
+        pairs = zip(firsts["user_id"], firsts["computer_id"])
+        return np.sort(order[~leads]), zip(pairs, at[starts].tolist(), at[ends].tolist(), events)
+
+    def _add(self, runs: list[list], run: list, displaced: list) -> None:
+        """Put a run among those of its pair; runs within the TTL of each other become one."""
+        apart = []
+        for other in runs:
+            if self.ttl is not None and (run[0] - other[1] > self.ttl or other[0] - run[1] > self.ttl):
+                apart.append(other)
+                continue
+            earlier, later = (run, other) if self._order(run) <= self._order(other) else (other, run)
+            displaced.append(later[2])
+            run = [earlier[0], max(run[1], other[1]), earlier[2]]
+        runs[:] = [*apart, run]
+
+    @staticmethod
+    def _order(run: list) -> tuple:
+        return run[0], run[2][-1] or ""
+
+    @staticmethod
+    def _flagged(events: pd.DataFrame, flags) -> pd.DataFrame:
+        return events[_NAMES].assign(is_new_device=flags)
+
+    def _store(self, latest: dict[tuple, int], known: dict[tuple, tuple | None]) -> None:
+        due: dict[int, list[tuple]] = {}
+        for pair, at in latest.items():
+            bucket = -1 if self.ttl is None else (at + self.ttl) // self.width + 1
+            self.pairs.updateValue(pair, (at, bucket))
+            before = known.get(pair)
+            if self.ttl is not None and (before is None or before[1] != bucket):
+                due.setdefault(bucket, []).append(pair)
+        for bucket, pairs in due.items():
+            stored = self.parts.getValue((bucket,))
+            number = 0 if stored is None else stored[0]
+            self.listed.updateValue((bucket, number), ([p[0] for p in pairs], [p[1] for p in pairs]))
+            self.parts.updateValue((bucket,), (number + 1,))
+            if number == 0:
+                self.handle.registerTimer(bucket * self.width // 1000 + 1)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        horizon = timerValues.getCurrentWatermarkInMs() - self.ttl_ms
-        for pair in [pair for pair, seen in self.pairs.iterator() if seen[0] < horizon]:
-            self.pairs.removeKey(pair)
-        if self.pairs.exists():
-            self.handle.registerTimer(timerValues.getCurrentWatermarkInMs() + max(self.ttl_ms // 8, 1))
+        bucket = expiredTimerInfo.getExpiryTimeInMs() * 1000 // self.width
+        stored = self.parts.getValue((bucket,))
+        for number in range(0 if stored is None else stored[0]):
+            users, computers = self.listed.getValue((bucket, number))
+            for pair in zip(users, computers):
+                seen = self.pairs.getValue(pair)
+                if seen is not None and seen[1] == bucket:
+                    self.pairs.removeKey(pair)
+            self.listed.removeKey((bucket, number))
+        if stored is not None:
+            self.parts.removeKey((bucket,))
         return iter([])
 
     def close(self) -> None:
@@ -108,7 +188,7 @@ def flag_new_devices_stream(
         sharded(events.select(*[f.name for f in EVENT_FIELDS]))
         .groupBy("shard")
         .transformWithStateInPandas(
-            statefulProcessor=FirstSeenFlagger(None if ttl is None else duration_seconds(ttl) * 1000),
+            statefulProcessor=FirstSeenFlagger(None if ttl is None else duration_seconds(ttl) * 1_000_000),
             outputStructType=FLAGGED,
             outputMode="Append",
             timeMode="EventTime",

@@ -137,7 +137,11 @@ def start_ingest(
 def start_features(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
     features = stream_features(stored_stream(spark, cfg), [cfg.hour_hop, cfg.day_hop])
     return start_sink(
-        features, cfg.tables.features, ["window_size"], _checkpoint(cfg, "features"), cfg.stream
+        features.withColumn("event_date", event_date("window_start")),
+        cfg.tables.features,
+        ["event_date", "window_size"],
+        _checkpoint(cfg, "features"),
+        cfg.stream,
     )
 
 
