@@ -721,7 +721,6 @@ def oracle_sql() -> dict[str, str]:
         ),
         "job_refresh_changed": sql("SELECT * FROM wide", "wide"),
         "job_refresh_changed_features": sql(f"SELECT {FEATURE_COLUMNS} FROM features", "features"),
-        "job_refresh_changed_curated": sql(f"SELECT {CURATED_COLUMNS} FROM curated", "curated"),
         # streams
         "stream_dedup": sql("SELECT event_id, event_time, user_id, computer_id FROM auth", "auth"),
         "stream_first_seen": sql("SELECT event_id, user_id, computer_id, is_new_device FROM flagged", "flagged"),

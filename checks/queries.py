@@ -493,7 +493,6 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "job_backfill_features": lambda i: tables.stored_features(i.spark, i.feature_days()),
     "job_refresh_changed": lambda i: tables.wide_events(i.spark, i.changed()).drop("src_host"),
     "job_refresh_changed_features": lambda i: tables.features(i.spark, i.changed()),
-    "job_refresh_changed_curated": lambda i: tables.curated_events(i.spark, i.changed()),
     # streams
     "stream_dedup": lambda i: i.drained(pipeline.unique_stream(i.stream(), "5 minutes"), "stream-dedup").select(
         "event_id", "event_time", "user_id", "computer_id"

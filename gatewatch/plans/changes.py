@@ -19,7 +19,7 @@ from gatewatch import schemas
 from gatewatch.config import PipelineConfig, TablePaths
 from gatewatch.operators.firstseen import PAIR, seen_pairs
 from gatewatch.plans import jobs
-from gatewatch.plans.history import known_pairs
+from gatewatch.plans.history import append_pairs, known_pairs
 from gatewatch.plans.tables import has_files
 from gatewatch.session import materialize, prepare
 from gatewatch.sources import tables as scans
@@ -42,13 +42,16 @@ def new_files(spark: SparkSession, tables: TablePaths) -> DataFrame:
 
 def moved_days(spark: SparkSession, tables: TablePaths, touched: Iterable[date]) -> list[date]:
     """Days whose first-seen events lose that mark, since a touched day saw their pair earlier."""
-    names = [d.isoformat() for d in touched]
-    found = seen_pairs(scans.raw_events(spark, tables).filter(F.col("event_date").isin(names)))
+    found = _pairs_of(spark, tables, touched)
     known = known_pairs(spark, tables).select(*PAIR, F.col("first_seen").alias("_known"))
     moved = found.join(known, PAIR).filter(F.col("first_seen") < F.col("_known"))
     return [r[0] for r in moved.select(F.to_date("_known")).distinct().collect()]
 
 
+def _pairs_of(spark: SparkSession, tables: TablePaths, touched: Iterable[date]) -> DataFrame:
+    return seen_pairs(scans.raw_events(spark, tables).filter(F.col("event_date").isin([d.isoformat() for d in touched])))
+
+
 def runs(touched: Iterable[date]) -> list[tuple[date, date]]:
     """Maximal ranges ``[first, last)`` of consecutive days."""
     found: list[tuple[date, date]] = []
@@ -76,8 +79,7 @@ def refresh_changed(spark: SparkSession, tables: TablePaths, cfg: PipelineConfig
         return []
     affected = runs([*touched, *moved_days(spark, tables, touched), *_unfinished(spark, tables)])
     _note(spark, tables, affected)
-    for start, end in runs(touched):
-        jobs.merge_history(spark, tables, start, end)
+    append_pairs(spark, tables, _pairs_of(spark, tables, touched))
     reach = jobs.reach(cfg)
     # Ranges that meet once their reach is added are built together.
     for start, end in runs(d for a, b in affected for d in _days(a, b + reach)):
