@@ -130,6 +130,10 @@ class TablePaths:
     def seen_pairs(self) -> str:
         return self.path("state/pair_history")
 
+    @property
+    def landing(self) -> str:
+        return self.path("landing/auth_events")
+
     @property
     def dead_letters(self) -> str:
         return self.path("dlq/auth_events")
@@ -151,6 +155,8 @@ class StreamConfig:
     trigger_seconds: int = 30
     trigger_once: bool = False
     watermark: str = "5 minutes"
+    # A day of the raw table is marked complete once the watermark has passed its end by this.
+    commit_delay: str = "1 minute"
     # Shards of the first-seen state; fixed once a checkpoint exists.
     state_shards: int = 256
     # Shuffle partitions of stateful queries, fixed once a checkpoint exists; the

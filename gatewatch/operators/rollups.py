@@ -61,6 +61,15 @@ def host_access_daily(events: DataFrame) -> DataFrame:
     )
 
 
+def hosts_of_visits(visits: DataFrame) -> DataFrame:
+    """``host_access_daily`` from events counted per day, host and user; a user may have several rows."""
+    return (
+        visits.groupBy("event_date", "computer_id")
+        .agg(F.sum("visits").alias("access_count"), F.countDistinct("user_id").alias("unique_users"))
+        .withColumn("is_rare", F.col("access_count") < RARE_ACCESS_COUNT)
+    )
+
+
 def host_popularity_daily(curated: DataFrame) -> DataFrame:
     """Users and events per host and day, from curated events."""
     return curated.groupBy(F.to_date("event_time").alias("event_date"), F.col("dst_host").alias("host_id")).agg(

@@ -55,6 +55,21 @@ RAW_STORED = _struct(
     ("event_date", StringType()),
 )
 
+# Valid events between a stream's source and its raw table, by number of the source's micro-batch.
+LANDED = _struct(
+    *((f.name, f.dataType) for f in EVENTS),
+    ("batch", LongType()),
+)
+
+# Events counted per day, host and user, by number of the micro-batch that brought them.
+HOST_VISITS = _struct(
+    ("computer_id", StringType()),
+    ("user_id", StringType()),
+    ("visits", LongType()),
+    ("batch", LongType()),
+    ("event_date", StringType()),
+)
+
 CURATED = _struct(
     ("event_time", TimestampType()),
     ("user_id", StringType()),

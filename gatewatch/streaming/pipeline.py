@@ -1,14 +1,19 @@
-"""The streaming pipeline: four queries with their own checkpoints.
+"""The streaming pipeline: queries with their own checkpoints, handing on by stored tables.
 
-Decoding, deduplication and first-seen state run once, in the query that writes the raw
-table. Features and curated events read that table as a file stream, so the costly
-state is not repeated for each sink.
+The source is read once. Each micro-batch of it is decoded once and split into valid events,
+which land in a folder between, and dead letters. Deduplication and first-seen state run
+once, in the query from there to the raw table. Features, curated events and host counts
+read that table as a file stream, so the costly state is not repeated for each sink.
+
+A sink of several tables writes each micro-batch under its number and in place of what a
+run before left there, so a micro-batch that is repeated after a kill changes nothing.
 """
 
 from __future__ import annotations
 
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -17,11 +22,12 @@ from gatewatch import schemas
 from gatewatch.config import PipelineConfig, StreamConfig
 from gatewatch.functions.risk import apply_risk_engine
 from gatewatch.functions.times import event_date
-from gatewatch.operators.rollups import host_access_daily
+from gatewatch.operators.rollups import hosts_of_visits
 from gatewatch.plans.curated import CURATED_COLUMNS
 from gatewatch.plans.tables import make_folder
 from gatewatch.session import prepare
 from gatewatch.sources.validate import dead_letters, valid_events
+from gatewatch.streaming.commits import DayCommits, commit_finished
 from gatewatch.streaming.features import stream_enriched, stream_features
 from gatewatch.streaming.firstseen import flag_new_devices_stream
 from gatewatch.streaming.sources import read_payloads, validated_stream
@@ -103,35 +109,94 @@ def curated_stream(flagged: DataFrame, cfg: PipelineConfig) -> DataFrame:
 
 
 def stored_stream(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
-    """The raw table as a watermarked stream."""
+    """The raw table as a watermarked stream.
+
+    No bound on files here: a commit of the raw table holds files of many days, and taking
+    some of them first would make the others late.
+    """
     return spark.readStream.schema(schemas.RAW_STORED).parquet(cfg.tables.raw).withWatermark(
         "event_time", cfg.stream.watermark
     ).drop("event_date")
 
 
+def landed_stream(spark: SparkSession, cfg: PipelineConfig) -> DataFrame:
+    """Valid events between the source and the raw table, in the order and portions they came.
+
+    A portion of the source is one folder here, so a bound on files bounds this stage too.
+    """
+    reader = spark.readStream.schema(schemas.LANDED)
+    if cfg.stream.max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", cfg.stream.max_files_per_trigger)
+    return reader.parquet(cfg.tables.landing).drop("batch")
+
+
 def _checkpoint(cfg: PipelineConfig, query: str) -> str:
     base = cfg.stream.checkpoint_location or cfg.tables.path("checkpoint")
     return f"{base.rstrip('/')}/{query}"
 
 
-def start_ingest(
-    spark: SparkSession, cfg: PipelineConfig, history: DataFrame | None = None
-) -> list[StreamingQuery]:
-    """Source to raw table, and rejected records to the dead-letter table."""
+def _start_batches(df: DataFrame, write, checkpoint: str, cfg: StreamConfig) -> StreamingQuery:
+    writer = df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+    if cfg.trigger_once:
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=f"{cfg.trigger_seconds} seconds").start()
+
+
+def _replace_portion(df: DataFrame, path: str, batch: int, partitions: tuple[str, ...] = ()) -> None:
+    """Write a micro-batch's portion of a table under its number, whatever a run before left there."""
+    portion = df.withColumn("batch", F.lit(batch).cast("long"))
+    (
+        portion.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("batch", *partitions)
+        .parquet(path)
+    )
+
+
+def start_landing(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
+    """The source, read and decoded once: valid events to the landing folder, rejected records to the dead letters."""
     validated = validated_stream(read_payloads(spark, cfg.stream), cfg.stream.payload_format)
-    flagged = flagged_stream(valid_events(validated), cfg.stream, history)
-    raw = start_sink(
+
+    def split(batch: DataFrame, number: int) -> None:
+        batch.persist(StorageLevel.MEMORY_AND_DISK)
+        try:
+            events = valid_events(batch).select(*[c for c in schemas.LANDED.names if c != "batch"])
+            _replace_portion(_small_files(events, cfg.stream), cfg.tables.landing, number)
+            rejected = dead_letters(batch).withColumn("processing_time", F.current_timestamp())
+            _replace_portion(rejected, cfg.tables.dead_letters, number)
+        finally:
+            batch.unpersist()
+
+    return _start_batches(validated, split, _checkpoint(cfg, "landing"), cfg.stream)
+
+
+def _small_files(events: DataFrame, cfg: StreamConfig) -> DataFrame:
+    """With a bound on files a portion is kept in one file, which is what the bound counts."""
+    return events.coalesce(1) if cfg.max_files_per_trigger else events
+
+
+def start_raw(spark: SparkSession, cfg: PipelineConfig, history: DataFrame | None = None) -> StreamingQuery:
+    """Landed events to the raw table, one per id and flagged."""
+    flagged = flagged_stream(landed_stream(spark, cfg), cfg.stream, history)
+    return start_sink(
         flagged.withColumn("event_date", event_date()),
         cfg.tables.raw,
         ["event_date"],
         _checkpoint(cfg, "raw"),
         cfg.stream,
     )
-    rejected = dead_letters(
-        validated_stream(read_payloads(spark, cfg.stream), cfg.stream.payload_format)
-    ).withColumn("processing_time", F.current_timestamp())
-    dlq = start_sink(rejected, cfg.tables.dead_letters, [], _checkpoint(cfg, "dlq"), cfg.stream)
-    return [raw, dlq]
+
+
+def start_ingest(
+    spark: SparkSession, cfg: PipelineConfig, history: DataFrame | None = None
+) -> list[StreamingQuery]:
+    """Source to raw table, and rejected records to the dead-letter table."""
+    landing = start_landing(spark, cfg)
+    if cfg.stream.trigger_once:
+        landing.awaitTermination()
+    # A file stream needs its folder to exist before the first portion.
+    make_folder(spark, cfg.tables.landing)
+    return [start_raw(spark, cfg, history), landing]
 
 
 def start_features(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
@@ -156,13 +221,20 @@ def start_curated(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
 
 
 def start_host_popularity(spark: SparkSession, cfg: PipelineConfig) -> StreamingQuery:
-    """Host counts of every day touched by a micro-batch, recounted from the raw table."""
+    """Host counts of every day touched by a micro-batch.
 
-    def recount(batch: DataFrame, _: int) -> None:
-        touched = F.broadcast(batch.select("event_date").distinct())
-        stored = spark.read.schema(schemas.RAW_STORED).parquet(cfg.tables.raw).join(touched, "event_date", "left_semi")
+    A micro-batch adds its visits, counted per day, host and user; a touched day's hosts are
+    counted again from its visits, not from its events.
+    """
+    visits_path = cfg.tables.path("state/host_visits")
+
+    def recount(batch: DataFrame, number: int) -> None:
+        visits = batch.groupBy("event_date", "computer_id", "user_id").agg(F.count(F.lit(1)).alias("visits"))
+        _replace_portion(visits, visits_path, number, ("event_date",))
+        touched = F.broadcast(batch.select("event_date").distinct())  # one row per calendar day
+        stored = spark.read.schema(schemas.HOST_VISITS).parquet(visits_path).join(touched, "event_date", "left_semi")
         (
-            host_access_daily(stored)
+            hosts_of_visits(stored)
             .write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
             .partitionBy("event_date")
@@ -170,12 +242,7 @@ def start_host_popularity(spark: SparkSession, cfg: PipelineConfig) -> Streaming
         )
 
     source = spark.readStream.schema(schemas.RAW_STORED).parquet(cfg.tables.raw)
-    writer = source.writeStream.foreachBatch(recount).option(
-        "checkpointLocation", _checkpoint(cfg, "host_popularity")
-    )
-    if cfg.stream.trigger_once:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=f"{cfg.stream.trigger_seconds} seconds").start()
+    return _start_batches(source, recount, _checkpoint(cfg, "host_popularity"), cfg.stream)
 
 
 def start_pipeline(
@@ -191,14 +258,16 @@ def start_pipeline(
     if cfg.stream.trigger_once:
         for query in queries:
             query.awaitTermination()
+        commit_finished(spark, cfg, queries[0])
     else:
         # A file stream needs its folder to exist before the first raw commit.
         make_folder(spark, cfg.tables.raw)
-    queries += [start_features(spark, cfg), start_curated(spark, cfg)]
+        spark.streams.addListener(DayCommits(spark, cfg, queries[0]))
+    behind = [start_features(spark, cfg), start_curated(spark, cfg), start_host_popularity(spark, cfg)]
     if cfg.stream.trigger_once:
-        for query in queries[2:]:
+        for query in behind:
             query.awaitTermination()
-    return queries
+    return queries + behind
 
 
 def run(spark: SparkSession, cfg: PipelineConfig) -> None:

@@ -6,15 +6,20 @@ import pytest
 from pyspark.sql import functions as F
 
 from gatewatch import schemas
-from gatewatch.config import DAY_HOP, HOUR_HOP, PipelineConfig, RiskConfig, StreamConfig, TablePaths
+from gatewatch.config import DAY_HOP, HOUR_HOP, HopSpec, PipelineConfig, RiskConfig, StreamConfig, TablePaths
 from gatewatch.operators.features import window_features
 from gatewatch.operators.firstseen import flag_new_devices, seen_pairs
+from gatewatch.operators.rolling import rolling_activity
 from gatewatch.operators.rollups import host_access_daily
 from gatewatch.plans.curated import build_curated
+from gatewatch.plans.kpis import missing_dates
 from gatewatch.plans.tables import refresh_days
 from gatewatch.sources import tables as scans
-from gatewatch.streaming import pipeline, tail
+from gatewatch.streaming import pipeline, replay, tail
+from gatewatch.streaming.commits import complete_days
+from gatewatch.streaming.features import stream_features
 from gatewatch.streaming.firstseen import flag_new_devices_stream
+from gatewatch.streaming.rolling import rolling_stream
 from gatewatch.streaming.sources import source_options, start_position
 from helpers import START, event, frame, skewed_events
 
@@ -177,3 +182,113 @@ def test_start_positions():
         start_position("middle")
     kafka = StreamConfig(source_format="kafka", start_from="earliest", max_offsets_per_trigger=10)
     assert source_options(kafka) == {"startingOffsets": "earliest", "maxOffsetsPerTrigger": "10"}
+
+
+def test_ttl_state_is_forgotten_by_bucket(spark, folder):
+    """Pairs leave the state once they have expired, and a pair seen again stays."""
+    hour = 3600
+    rows = [[event(n * 60, f"U{n}", "C1") for n in range(20)], [event(5 * hour, "U1", "C1")], [event(9 * hour, "U99", "C1")], [event(12 * hour, "U1", "C1")], [event(30 * hour, "U5", "C1")], [event(31 * hour, "U5", "C1")]]
+    stream = flag_new_devices_stream(files(spark, folder, rows), shards=1, ttl="6 hours")
+    query = pipeline.start_sink(stream, f"{folder}/out", [], f"{folder}/c", StreamConfig(trigger_once=True))
+    query.awaitTermination()
+    flat = [r for batch in rows for r in batch]
+    want = flag_new_devices(frame(spark, flat), ttl="6 hours").select("event_id", "is_new_device")
+    assert same(spark.read.parquet(f"{folder}/out").select("event_id", "is_new_device"), want)
+    left = spark.read.format("statestore").option("stateVarName", "pairs").load(f"{folder}/c")
+    users = {r.key_user for r in left.select("user_map_key.user_id").withColumnRenamed("user_id", "key_user").collect()}
+    assert "U3" not in users and "U5" in users
+
+
+def test_many_rows_of_few_pairs_pass_through(spark, folder):
+    """Rows of a shard come in several portions; the earliest event of a pair may be in any of them."""
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(limit)
+    spark.conf.set(limit, "7")
+    try:
+        for ttl in (None, "2 hours"):
+            rows = skewed_events(90, seed=11)
+            stream = flag_new_devices_stream(files(spark, f"{folder}/{ttl}", [rows]), shards=2, ttl=ttl)
+            got = drain(spark, stream, f"{folder}/{ttl}", "out").select("event_id", "is_new_device")
+            assert same(got, flag_new_devices(frame(spark, rows), ttl=ttl).select("event_id", "is_new_device"))
+    finally:
+        spark.conf.set(limit, before)
+
+
+def test_rolling_activity_over_micro_batches(spark, folder):
+    rows = sorted(skewed_events(160), key=lambda r: (r[0], r[5]))
+    batches = [rows[:50], rows[50:90], rows[90:]]
+    got = drain(spark, rolling_stream(files(spark, folder, batches)), folder, "out")
+    want = rolling_activity(frame(spark, rows))
+    names = ["event_id", "login_count_1h", "unique_computers_1h", "login_count_24h", "unique_computers_24h"]
+    # Events of one time that are in two micro-batches are the one case in which a stream cannot know better.
+    assert same(got.select(*names), want.select(*names))
+
+
+def test_windows_that_do_not_nest_are_copied(spark, folder):
+    rows = sorted(skewed_events(60), key=lambda r: (r[0], r[5])) + [event(9 * 86400, "U9", "C9", "end")]
+    flagged = files(spark, folder, [rows]).withColumn("is_new_device", F.lit(False))
+    hops = [HopSpec("2h", 7200, 3000), HopSpec("1h", 3600, 3600)]
+    got = drain(spark, stream_features(flagged, hops), folder, "out").filter("user_id <> 'U9'")
+    want = window_features(frame(spark, rows).withColumn("is_new_device", F.lit(False)), hops).filter("user_id <> 'U9'")
+    assert same(got, want)
+
+
+def test_source_is_read_once_and_repeated_batches_change_nothing(spark, folder):
+    cfg = config(folder)
+    write_lines(f"{folder}/in", "1", [payload(event(n, f"U{n}")) for n in range(6)] + ["{broken"])
+    pipeline.prepare_streaming(spark)
+    pipeline.start_landing(spark, cfg).awaitTermination()
+    landed = spark.read.schema(schemas.LANDED).parquet(cfg.tables.landing)
+    before = sorted(map(str, landed.collect()))
+    rejected = spark.read.parquet(cfg.tables.dead_letters).count()
+    assert len(before) == 6 and rejected == 1
+    # A kill between the tables and the commit of the micro-batch: it is run again.
+    os.remove(f"{folder}/lake/checkpoint/landing/commits/0")
+    crc = f"{folder}/lake/checkpoint/landing/commits/.0.crc"
+    if os.path.exists(crc):
+        os.remove(crc)
+    pipeline.start_landing(spark, cfg).awaitTermination()
+    landed = spark.read.schema(schemas.LANDED).parquet(cfg.tables.landing)
+    assert sorted(map(str, landed.collect())) == before
+    assert spark.read.parquet(cfg.tables.dead_letters).count() == rejected
+
+
+def test_days_are_marked_behind_the_watermark(spark, folder):
+    cfg = config(folder, commit_delay="1 hour")
+    day = 86400
+    write_lines(f"{folder}/in", "1", [payload(event(n)) for n in (0, 60, day + 60)])
+    pipeline.start_pipeline(spark, cfg)
+    assert [r[0] for r in complete_days(spark, cfg.tables.raw).collect()] == []
+    # Five minutes of watermark and one hour of delay after the end of the first day.
+    write_lines(f"{folder}/in", "2", [payload(event(day + 65 * 60 + 1, host="C2"))])
+    pipeline.start_pipeline(spark, cfg)
+    assert [r[0] for r in complete_days(spark, cfg.tables.raw).collect()] == ["2024-03-01"]
+    write_lines(f"{folder}/in", "3", [payload(event(120, host="C3", event_id="late"))])
+    pipeline.start_pipeline(spark, cfg)
+    stored = spark.read.schema(schemas.RAW_STORED).parquet(cfg.tables.raw)
+    assert stored.filter("event_id = 'late'").isEmpty() and stored.filter("event_date = '2024-03-01'").count() == 2
+    marks = missing_dates(complete_days(spark, cfg.tables.raw), START.date(), (START + timedelta(days=1)).date())
+    assert [r[0] for r in marks.collect()] == ["2024-03-02"]
+
+
+def test_replay_in_steps_over_a_restart(spark, folder):
+    rows = skewed_events(50)
+    steps = replay.stage_replay(frame(spark, rows), f"{folder}/staged", 12)
+    assert steps == 5
+    query = replay.start_replay(spark, f"{folder}/staged", f"{folder}/in", f"{folder}/c", steps, trigger_seconds=0.2)
+    while replay.published(spark, f"{folder}/in") < 2:
+        query.awaitTermination(0.1)
+    query.stop()
+    done = replay.published(spark, f"{folder}/in")
+    query = replay.start_replay(spark, f"{folder}/staged", f"{folder}/in", f"{folder}/c", steps, trigger_seconds=0.2)
+    replay.await_replay(spark, query, f"{folder}/in", steps, 120)
+    assert 2 <= done <= steps == replay.published(spark, f"{folder}/in")
+    sent = []
+    for name in sorted(n for n in os.listdir(f"{folder}/in") if n.startswith("step-")):
+        with open(f"{folder}/in/{name}", encoding="utf-8") as file:
+            sent.append([json.loads(line) for line in file])
+    assert [len(s) for s in sent] == [12, 12, 12, 12, 2]
+    names = [e["event_id"] for s in sent for e in s]
+    assert names == [r[5] for r in sorted(rows, key=lambda r: (r[0], r[5]))]
+    skipped = replay.stage_replay(frame(spark, rows), f"{folder}/staged2", 12, start_at=45)
+    assert skipped == 1 and spark.read.parquet(f"{folder}/staged2").count() == 5
