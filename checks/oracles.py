@@ -668,6 +668,7 @@ def oracle_sql() -> dict[str, str]:
         # data quality
         "dq_curated": _dq(CURATED_FAILURES, "curated", 0, "curated"),
         "dq_spoiled": _dq(CURATED_FAILURES, "spoiled", 1, "spoiled"),
+        "dq_schema_of_files": _dq(CURATED_FAILURES, "curated", 1, "curated"),
         "dq_invalid_stats": sql(
             """SELECT round(max(failed) / max(n) * 100.0, 6) AS invalid_record_percent,
                       CAST(max(failed) AS BIGINT) AS invalid_rows, CAST(max(n) AS BIGINT) AS total_rows
@@ -734,6 +735,7 @@ def oracle_sql() -> dict[str, str]:
                FROM rolling""",
             "rolling",
         ),
+        "replay_in_steps": sql("SELECT event_id, event_time, user_id, computer_id FROM auth", "auth"),
         "stream_features": sql(
             f"SELECT {FEATURE_COLUMNS} FROM features", "features"
         ),

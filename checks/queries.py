@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, FloatType, TimestampType
 
+from gatewatch import schemas
 from gatewatch.config import DAY_HOP, HOUR_HOP, PipelineConfig, RiskConfig, StreamConfig, TablePaths
 from gatewatch.functions import risk
 from gatewatch.functions.times import as_of_column, event_date
@@ -24,7 +25,8 @@ from gatewatch.session import prepare, scratch_path
 from gatewatch.sources import payload, tables, validate
 from gatewatch.sources.activity import auth_events, between
 from gatewatch.sources.logs import parse_lines
-from gatewatch.streaming import pipeline, rolling, tail
+from gatewatch.streaming import pipeline, replay, rolling, tail
+from gatewatch.streaming.sources import read_payloads, validated_stream
 
 # The test data never reaches the default thresholds, so these are lower.
 SCALED = PipelineConfig(
@@ -333,6 +335,28 @@ def _dq_spoiled(i: Inputs) -> DataFrame:
     return quality.run_suite(i.spoiled)
 
 
+def _dq_files(i: Inputs) -> DataFrame:
+    """The curated suite over a stored table that lacks two columns the scan declares."""
+    path = TablePaths(scratch_path(i.spark, "narrow"))
+    i.curated.drop("src_host", "risk_flags").write.partitionBy("event_date").parquet(path.curated)
+    stored = tables.files_schema(i.spark, path.curated, schemas.CURATED)
+    return quality.run_suite(tables.curated_events(i.spark, path), stored=stored)
+
+
+def _replayed(i: Inputs) -> DataFrame:
+    """All events staged, published step by step over a restart, and read back as a stream."""
+    path = scratch_path(i.spark, "replay")
+    size = -(-i.events.count() // 12)
+    steps = replay.stage_replay(i.clean, f"{path}/staged", size)
+    for until in (steps // 2, steps):
+        query = replay.start_replay(i.spark, f"{path}/staged", f"{path}/in", f"{path}/replay", steps, trigger_seconds=0.1)
+        replay.await_replay(i.spark, query, f"{path}/in", until)
+    cfg = StreamConfig(source_format="text", source_path=f"{path}/in", max_files_per_trigger=1, trigger_once=True)
+    pipeline.prepare_streaming(i.spark)
+    events = validate.valid_events(validated_stream(read_payloads(i.spark, cfg)))
+    return i.drained(events.withWatermark("event_time", "1 second"), "replayed").select("event_id", "event_time", "user_id", "computer_id")
+
+
 def _stored_stream(i: Inputs, label: str) -> PipelineConfig:
     """First stage of the pipeline: flag the events and store them as the raw table."""
     paths = TablePaths(scratch_path(i.spark, label))
@@ -479,6 +503,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     # data quality
     "dq_curated": lambda i: quality.run_suite(i.curated).drop("details"),
     "dq_spoiled": lambda i: _dq_spoiled(i).drop("details"),
+    "dq_schema_of_files": lambda i: _dq_files(i).drop("details"),
     "dq_invalid_stats": lambda i: quality.invalid_record_stats(_dq_spoiled(i)),
     "dq_overall": lambda i: quality.overall_status(quality.run_suite(i.curated)),
     # jobs
@@ -506,6 +531,7 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "stream_rolling_activity": lambda i: i.drained(
         rolling.rolling_stream(pipeline.unique_stream(i.stream(), "5 minutes")), "stream-rolling"
     ).select("event_id", "login_count_1h", "unique_computers_1h", "login_count_24h", "unique_computers_24h"),
+    "replay_in_steps": _replayed,
     "stream_features": _features_stream,
     "stream_curated": _curated_stream,
 }

@@ -1,4 +1,4 @@
-"""Command line: ``python -m gatewatch {ingest,daily,backfill,quality,stream} ...``."""
+"""Command line: ``python -m gatewatch {ingest,daily,backfill,refresh,fold-history,sla,quality,stream} ...``."""
 
 from __future__ import annotations
 
@@ -7,8 +7,10 @@ import json
 import sys
 from datetime import date, datetime, timezone
 
+from gatewatch import schemas
 from gatewatch.config import PipelineConfig, RiskConfig, StreamConfig, TablePaths
-from gatewatch.plans import jobs, quality
+from gatewatch.plans import changes, jobs, quality
+from gatewatch.plans.history import fold_pairs, known_pairs
 from gatewatch.session import build_session
 from gatewatch.sources import tables as scans
 from gatewatch.sources.logs import read_log
@@ -33,6 +35,13 @@ def _parser() -> argparse.ArgumentParser:
         dated.add_argument("--start-date", type=date.fromisoformat, default=first)
         dated.add_argument("--end-date", type=date.fromisoformat, default=last)
 
+    commands.add_parser("refresh", help="build again what new raw files have changed, in all tables")
+    commands.add_parser("fold-history", help="fold the stored history to one row per pair")
+
+    levels = commands.add_parser("sla", help="list violated service levels")
+    levels.add_argument("--start-date", type=date.fromisoformat, default=first)
+    levels.add_argument("--end-date", type=date.fromisoformat, default=last)
+
     checks = commands.add_parser("quality", help="run a suite over the curated table")
     checks.add_argument("--suite", help="YAML or JSON file; the curated suite if left out")
     checks.add_argument("--markdown", action="store_true")
@@ -45,6 +54,14 @@ def _parser() -> argparse.ArgumentParser:
     stream.add_argument("--payload-format", choices=("json", "csv"), default="json")
     stream.add_argument("--start-from", default="latest")
     stream.add_argument("--trigger-seconds", type=int, default=30)
+    stream.add_argument("--watermark", default="5 minutes")
+    stream.add_argument("--checkpoint", help="folder of the checkpoints; below the base path if left out")
+    stream.add_argument("--state-ttl", help="forget a (user, host) pair that was idle for longer")
+    stream.add_argument("--state-shards", type=int, default=256)
+    stream.add_argument("--max-files-per-trigger", type=int)
+    stream.add_argument("--max-offsets-per-trigger", type=int)
+    stream.add_argument("--commit-delay", default="1 minute")
+    stream.add_argument("--stored-history", action="store_true", help="seed a new query's state from the stored history")
     stream.add_argument("--trigger-once", action="store_true", help="process what there is, then end")
     return parser
 
@@ -59,6 +76,13 @@ def _stream_config(args: argparse.Namespace) -> StreamConfig:
         start_from=args.start_from,
         trigger_seconds=args.trigger_seconds,
         trigger_once=args.trigger_once,
+        watermark=args.watermark,
+        checkpoint_location=args.checkpoint,
+        state_ttl=args.state_ttl,
+        state_shards=args.state_shards,
+        max_files_per_trigger=args.max_files_per_trigger,
+        max_offsets_per_trigger=args.max_offsets_per_trigger,
+        commit_delay=args.commit_delay,
     )
 
 
@@ -77,15 +101,25 @@ def main(argv: list[str] | None = None) -> int:
         jobs.run_daily(spark, tables, args.start_date, args.end_date)
     elif args.command == "backfill":
         jobs.backfill(spark, tables, args.start_date, args.end_date, PipelineConfig(risk=risk))
+    elif args.command == "refresh":
+        print(json.dumps([day.isoformat() for day in changes.refresh_changed(spark, tables, PipelineConfig(risk=risk))]))
+    elif args.command == "fold-history":
+        fold_pairs(spark, tables)
+    elif args.command == "sla":
+        violated = [row.asDict() for row in jobs.sla_violations(spark, tables, args.start_date, args.end_date).collect()]
+        print(json.dumps(violated, indent=2))
+        return 2 if violated else 0
     elif args.command == "quality":
         suite = quality.load_suite(args.suite) if args.suite else quality.CURATED_SUITE
-        results = quality.run_suite(scans.curated_events(spark, tables), suite)
+        stored = scans.files_schema(spark, tables.curated, schemas.CURATED)
+        results = quality.run_suite(scans.curated_events(spark, tables), suite, stored=stored)
         report = quality.report(results, suite, datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ"))
         print(quality.report_markdown(report) if args.markdown else json.dumps(report, indent=2))
         print(quality.metric_line(report))
         return 0 if report["overall_status"] == "PASS" else 2
     else:
-        run(spark, PipelineConfig(risk=risk, tables=tables, stream=_stream_config(args)))
+        cfg = PipelineConfig(risk=risk, tables=tables, stream=_stream_config(args))
+        run(spark, cfg, known_pairs(spark, tables) if args.stored_history else None)
     return 0
 
 

@@ -41,6 +41,17 @@ def clean_events(events: DataFrame, unique: bool = False) -> DataFrame:
     return events if unique else deduplicate(with_event_id(events))
 
 
+def mark_expiring(events: DataFrame, cfg: PipelineConfig, history: DataFrame | None) -> tuple[DataFrame, DataFrame | None]:
+    """With a TTL, events with their first-seen marks, and no history left to look at.
+
+    A stream forgets pairs that were idle for longer than its ``state_ttl``; builds from
+    its events have to as well. Without a TTL features find first-seen events by themselves.
+    """
+    if cfg.stream.state_ttl is None:
+        return events, history
+    return flag_new_devices(events, history, cfg.stream.state_ttl), None
+
+
 def build_raw(events: DataFrame, unique: bool = False) -> DataFrame:
     """Rows of the raw table."""
     return clean_events(events, unique).select(
@@ -56,7 +67,8 @@ def build_features(
 ) -> DataFrame:
     """Rows of the feature table: both window lengths."""
     cfg = cfg or PipelineConfig()
-    return window_features(clean_events(events, unique), [cfg.hour_hop, cfg.day_hop], history)
+    events, history = mark_expiring(clean_events(events, unique), cfg, history)
+    return window_features(events, [cfg.hour_hop, cfg.day_hop], history)
 
 
 def build_curated(
@@ -71,6 +83,7 @@ def build_curated(
     events = clean_events(events, unique)
     if cfg.risk.rare_host_mode == "popularity":
         events = flag_rare_hosts(events)
+    events, history = mark_expiring(events, cfg, history)
     # Scoring reads the view of the events, the features the events themselves.
     lookup = features_at_events(events, cfg.hour_hop, cfg.day_hop, history)
     enriched = join_slots(scoring_view(events), lookup, cfg.hour_hop)
@@ -87,7 +100,7 @@ def build_wide(
     """Events with rolling counts, 0/1 indicators, and their score, flags and level."""
     cfg = cfg or PipelineConfig()
     events = clean_events(events, unique)
-    flagged = flag_rare_hosts(flag_new_devices(rolling_activity(events), history))
+    flagged = flag_rare_hosts(flag_new_devices(rolling_activity(events), history, cfg.stream.state_ttl))
     risk = cfg.risk
     indicators = {
         "is_new_device": F.col("is_new_device"),

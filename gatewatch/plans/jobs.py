@@ -10,14 +10,15 @@ from pyspark.sql import functions as F
 from gatewatch import schemas
 from gatewatch.config import PipelineConfig, TablePaths
 from gatewatch.functions.times import before_day, event_date, within, within_days
-from gatewatch.operators.features import window_features
 from gatewatch.operators.firstseen import seen_pairs
 from gatewatch.operators.rollups import host_popularity_daily, host_risk_daily, user_behavior_hourly, user_risk_hourly
-from gatewatch.plans.curated import build_curated, build_wide, clean_events
+from gatewatch.plans import kpis
+from gatewatch.plans.curated import build_curated, build_features, build_wide, clean_events
 from gatewatch.plans.history import append_pairs, known_pairs
 from gatewatch.plans.tables import append_table, days, has_files, refresh_days
 from gatewatch.session import materialize, prepare
 from gatewatch.sources import tables as scans
+from gatewatch.sources.validate import invalid_rate, with_processing_metadata
 
 
 def default_range(today: date | None = None) -> tuple[date, date]:
@@ -75,7 +76,7 @@ def ingest(events: DataFrame, tables: TablePaths, margin_days: int = 1) -> None:
             F.col("event_date").between((first - margin).date().isoformat(), (last + margin).date().isoformat())
         )
         new = materialize(new.join(known.select("event_id").distinct(), "event_id", "left_anti"), "ingest")
-    append_table(new.select(*[c for c in new.columns if c != "event_date"], "event_date"), tables.raw, ["event_date"])
+    append_table(with_processing_metadata(new), tables.raw, ["event_date"])
 
 
 def history_before(spark: SparkSession, tables: TablePaths, moment: date, stored: bool = False) -> DataFrame:
@@ -144,7 +145,7 @@ def backfill_features(
     cfg = cfg or PipelineConfig()
     prepare(spark)
     events, history = _events_and_history(spark, tables, start, end + reach(cfg), stored_history)
-    rows = window_features(events, [cfg.hour_hop, cfg.day_hop], history).filter(within("window_start", start, end))
+    rows = build_features(events, cfg, history=history, unique=True).filter(within("window_start", start, end))
     rows = rows.withColumn("event_date", event_date("window_start"))
     sizes = [cfg.hour_hop.label, cfg.day_hop.label]
     refresh_days(
@@ -169,6 +170,32 @@ def backfill(
     recompute_aggregates(spark, tables, start, end)
 
 
+def sla_violations(spark: SparkSession, tables: TablePaths, start: date, end: date) -> DataFrame:
+    """Service levels of the stored days ``[start, end)``: freshness, completeness, availability, and equal counts.
+
+    Freshness compares event with processing time as the raw table stores them; completeness
+    sets the dead letters of each hour against the events stored in it.
+    """
+    prepare(spark)
+    span = within_days(start, end)
+    stored = scans.processed_events(spark, tables).filter(span).filter(F.col("processing_time").isNotNull())
+    hour = F.date_trunc("hour", "processing_time")
+    records = stored.select("processing_time", F.lit(None).cast("string").alias("reject_reason"))
+    if has_files(spark, tables.dead_letters):
+        letters = scans.read_table(spark, tables.dead_letters, schemas.DEAD_LETTERS)
+        touched = stored.agg(F.min(hour).alias("first"), F.max(hour).alias("last"))
+        near = letters.join(F.broadcast(touched), hour.between(F.col("first"), F.col("last")), "left_semi")  # one row
+        records = records.unionByName(near.select("processing_time", "reject_reason"))
+    return kpis.sla_checks(
+        scans.raw_events(spark, tables).filter(span),
+        scans.curated_events(spark, tables).filter(span),
+        stored,
+        invalid_rate(records, hour, "hour"),
+        start,
+        end - timedelta(days=1),
+    )
+
+
 def merge_history(spark: SparkSession, tables: TablePaths, start: date, end: date) -> None:
     """Add the pairs of raw days ``[start, end)`` to the stored history.
 

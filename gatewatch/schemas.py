@@ -55,6 +55,20 @@ RAW_STORED = _struct(
     ("event_date", StringType()),
 )
 
+# The raw table with the time of processing, for service levels.
+RAW_PROCESSED = _struct(
+    *((f.name, f.dataType) for f in RAW_STORED if f.name != "event_date"),
+    ("processing_time", TimestampType()),
+    ("event_date", StringType()),
+)
+
+# Rejected records of a stream, by number of the source's micro-batch.
+DEAD_LETTERS = _struct(
+    ("reject_reason", StringType()),
+    ("processing_time", TimestampType()),
+    ("batch", LongType()),
+)
+
 # Valid events between a stream's source and its raw table, by number of the source's micro-batch.
 LANDED = _struct(
     *((f.name, f.dataType) for f in EVENTS),

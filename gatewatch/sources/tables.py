@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 from gatewatch import schemas
 from gatewatch.config import TablePaths
@@ -13,6 +13,15 @@ def read_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def files_schema(spark: SparkSession, path: str, declared: StructType) -> StructType:
+    """Columns as the table's own files tell them, partition columns with their declared types."""
+    table = spark.read.parquet(path)
+    parts = next(iter(table.inputFiles()), "").split("/")
+    partitions = {part.split("=", 1)[0] for part in parts if "=" in part}
+    kinds = {f.name: f.dataType for f in declared.fields if f.name in partitions}
+    return StructType([StructField(f.name, kinds.get(f.name, f.dataType)) for f in table.schema.fields])
+
+
 def raw_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
     return read_table(spark, tables.raw, schemas.RAW)
 
@@ -22,6 +31,11 @@ def stored_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
     return read_table(spark, tables.raw, schemas.RAW_STORED)
 
 
+def processed_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
+    """The raw table with the time each event was stored; NULL where its writer noted none."""
+    return read_table(spark, tables.raw, schemas.RAW_PROCESSED)
+
+
 def curated_events(spark: SparkSession, tables: TablePaths) -> DataFrame:
     return read_table(spark, tables.curated, schemas.CURATED)
 

@@ -26,7 +26,7 @@ from gatewatch.operators.rollups import hosts_of_visits
 from gatewatch.plans.curated import CURATED_COLUMNS
 from gatewatch.plans.tables import make_folder
 from gatewatch.session import prepare
-from gatewatch.sources.validate import dead_letters, valid_events
+from gatewatch.sources.validate import dead_letters, valid_events, with_processing_metadata
 from gatewatch.streaming.commits import DayCommits, commit_finished
 from gatewatch.streaming.features import stream_enriched, stream_features
 from gatewatch.streaming.firstseen import flag_new_devices_stream
@@ -179,7 +179,7 @@ def start_raw(spark: SparkSession, cfg: PipelineConfig, history: DataFrame | Non
     """Landed events to the raw table, one per id and flagged."""
     flagged = flagged_stream(landed_stream(spark, cfg), cfg.stream, history)
     return start_sink(
-        flagged.withColumn("event_date", event_date()),
+        with_processing_metadata(flagged),
         cfg.tables.raw,
         ["event_date"],
         _checkpoint(cfg, "raw"),
@@ -270,9 +270,9 @@ def start_pipeline(
     return queries + behind
 
 
-def run(spark: SparkSession, cfg: PipelineConfig) -> None:
+def run(spark: SparkSession, cfg: PipelineConfig, history: DataFrame | None = None) -> None:
     """Start the pipeline and wait; returns at once when everything was processed."""
-    queries = start_pipeline(spark, cfg)
+    queries = start_pipeline(spark, cfg, history)
     if not cfg.stream.trigger_once:
         spark.streams.awaitAnyTermination()
     for query in queries:

@@ -292,3 +292,16 @@ def test_replay_in_steps_over_a_restart(spark, folder):
     assert names == [r[5] for r in sorted(rows, key=lambda r: (r[0], r[5]))]
     skipped = replay.stage_replay(frame(spark, rows), f"{folder}/staged2", 12, start_at=45)
     assert skipped == 1 and spark.read.parquet(f"{folder}/staged2").count() == 5
+
+
+def test_stream_with_ttl_and_its_tail_agree(spark, folder):
+    rows = sorted(skewed_events(90), key=lambda r: (r[0], r[5]))
+    cfg = config(folder, state_ttl="10 hours")
+    write_lines(f"{folder}/in", "1", [payload(r) for r in rows])
+    pipeline.start_pipeline(spark, cfg)
+    events = frame(spark, rows)
+    flagged = flag_new_devices(events, ttl="10 hours")
+    whole = window_features(flagged, [HOUR_HOP, DAY_HOP])
+    assert not same(whole, window_features(events, [HOUR_HOP, DAY_HOP]))
+    assert same(tail.complete_features(spark, cfg), whole)
+    assert same(tail.complete_curated(spark, cfg), build_curated(events, cfg))
