@@ -4,14 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gatewatch.operators.firstseen import PAIR
-from gatewatch.operators.timeline import running_totals, with_neighbours
 
 SPANS = {"1h": 3600, "24h": 86400}
-_CHUNK_MICROS = 86_400_000_000
+_MICROS = 1_000_000
 
 
 def rolling_activity(events: DataFrame, spans: Mapping[str, int] = SPANS) -> DataFrame:
@@ -19,30 +18,39 @@ def rolling_activity(events: DataFrame, spans: Mapping[str, int] = SPANS) -> Dat
 
     Both ends of ``[event_time - span, event_time]`` count. A range frame with a
     distinct set would hold and rescan each user's whole window for every event; here
-    events enter and leave as changes along the timeline, which is cut into days so
-    that a busy user is spread over tasks.
+    events enter and leave as changes along the timeline.
+
+    The timeline is cut into chunks as long as the longest span, so that a busy user is
+    spread over tasks. A chunk also gets the events of the one before it, which is as far
+    as its spans reach: with this one copy all steps work on one layout by (user, chunk).
     """
+    length = max(spans.values()) * _MICROS
     at = F.unix_micros("event_time")
-    points = events.groupBy(*PAIR, at.alias("at")).agg(F.count(F.lit(1)).alias("n"))
-    near = with_neighbours(points, PAIR, "at", chunk=_CHUNK_MICROS)
+    chunk = F.floor(at / F.lit(length)).cast("long")
+    copies = F.explode(F.array(chunk, chunk + 1)).alias("_chunk")
+    laid = events.select(*PAIR, at.alias("_at"), copies).repartition("user_id", "_chunk")
+    points = laid.groupBy("user_id", "_chunk", "computer_id", "_at").agg(F.count(F.lit(1)).alias("n"))
+    along = Window.partitionBy("user_id", "_chunk", "computer_id").orderBy("_at")
+    near = points.withColumns({"_prev": F.lag("_at").over(along), "_next": F.lead("_at").over(along)})
+
     zero = F.lit(0).cast("long")
     values = [f"{kind}_{label}" for label in spans for kind in ("login_count", "unique_computers")]
 
     def change(pos, given):
-        return F.struct(pos.alias("at"), *[given.get(v, zero).alias(v) for v in values])
+        return F.struct(pos.alias("_at"), *[given.get(v, zero).alias(v) for v in values])
 
     arriving, changes = {}, []
     for label, seconds in spans.items():
-        span = F.lit(seconds * 1_000_000)
-        enters = (F.col("prev").isNull() | (F.col("at") - F.col("prev") > span)).cast("long")
-        leaves = (F.col("next").isNull() | (F.col("next") - F.col("at") > span)).cast("long")
+        span = F.lit(seconds * _MICROS)
+        enters = (F.col("_prev").isNull() | (F.col("_at") - F.col("_prev") > span)).cast("long")
+        leaves = (F.col("_next").isNull() | (F.col("_next") - F.col("_at") > span)).cast("long")
         arriving |= {f"login_count_{label}": F.col("n"), f"unique_computers_{label}": enters}
         departing = {f"login_count_{label}": -F.col("n"), f"unique_computers_{label}": -leaves}
-        changes.append(change(F.col("at") + span + 1, departing))
-    changes.append(change(F.col("at"), arriving))
-
-    deltas = near.select("user_id", F.inline(F.array(*changes)))
-    totals = running_totals(deltas, ["user_id"], "at", values, chunk=_CHUNK_MICROS)
-    return (
-        events.withColumn("at", at).join(totals, ["user_id", "at"], "left").drop("at")
-    )
+        changes.append(change(F.col("_at") + span + 1, departing))
+    changes.append(change(F.col("_at"), arriving))
+
+    deltas = near.select("user_id", "_chunk", F.inline(F.array(*changes)))
+    steps = deltas.groupBy("user_id", "_chunk", "_at").agg(*[F.sum(v).alias(v) for v in values])
+    upto = Window.partitionBy("user_id", "_chunk").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    totals = steps.select("user_id", "_chunk", "_at", *[F.sum(v).over(upto).alias(v) for v in values])
+    return events.withColumns({"_at": at, "_chunk": chunk}).join(totals, ["user_id", "_chunk", "_at"], "left").drop("_at", "_chunk")
