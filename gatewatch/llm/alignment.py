@@ -14,21 +14,28 @@ documents in which it is linked.
 from __future__ import annotations
 
 import hashlib
+import json
 import os
 from collections.abc import Iterator
 from functools import cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gatewatch.llm.bpe import Recent
 from gatewatch.llm.common import cut, scratch_table, small_side
 from gatewatch.llm.words import ranges, slices
 
 #: Bytes of a row of the table of pairs where it is broadcast (key, count, mark, and the hash table around them).
 PAIR_BYTES = 48
 
+#: Fixed value: how a byte-level file cuts texts into pieces.
+_PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+
 
 def _byte_alphabet() -> dict[str, int]:
     """Bytes as printable characters: those that print stand for themselves, the others follow from 256 on."""
@@ -38,7 +45,13 @@ def _byte_alphabet() -> dict[str, int]:
 
 
 class ByteSide:
-    """A byte-level BPE file of the ``tokenizers`` library; texts are encoded with a space before them."""
+    """A byte-level BPE file of the ``tokenizers`` library; texts are encoded with a space before them.
+
+    The file's first step cuts a text into pieces that are encoded each on its own. Texts of
+    Latin letters are cut by the same pattern here, and pieces met before are not encoded
+    again. Other scripts go through the library whole, since what counts as a letter there
+    depends on the version of the character tables.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
@@ -46,13 +59,36 @@ class ByteSide:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        with open(path, encoding="utf-8") as file:
+            first = json.load(file)
+        own = first["pre_tokenizer"]
+        self.can_cut = first["normalizer"] is None and own["type"] == "ByteLevel" and own["use_regex"] and not own["add_prefix_space"]
+        self.known = Recent()
         alphabet, special = _byte_alphabet(), {i: t.content for i, t in self.library.get_added_tokens_decoder().items()}
         self.tokens = [b""] * (max(self.library.get_vocab().values()) + 1)
         for token, i in self.library.get_vocab().items():
             self.tokens[i] = special[i].encode() if i in special else bytes(alphabet[c] for c in token)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.library.encode_batch_fast([" " + t for t in texts], add_special_tokens=False)]
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids (int32) of texts."""
+        pieces: list[list[str] | None] = []
+        for text in texts:
+            pieces.append(_PATTERN.findall(f" {text}") if self.can_cut and (text.isascii() or max(text) < "\u0250") else None)
+        new = self.known.missing(chain.from_iterable(own for own in pieces if own))
+        self.known.learn({p: _int32(e.ids) for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True)} if new else {})
+        known = self.known.young
+        found = []
+        for text, own in zip(texts, pieces, strict=True):
+            if own is None:
+                found.append(np.array(self.library.encode_batch_fast([f" {text}"], add_special_tokens=False)[0].ids, np.int32))
+            else:
+                found.append(np.frombuffer(b"".join([known[p] for p in own]), np.int32))
+        self.known.tidy()
+        return found
+
+
+def _int32(ids: list[int]) -> bytes:
+    return np.array(ids, np.int32).tobytes()
 
 
 class PieceSide:
@@ -68,8 +104,8 @@ class PieceSide:
         piece = self.library.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.library.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self.library.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, np.int32) for ids in self.library.encode(texts, num_threads=1)]
 
 
 class Side:
@@ -79,12 +115,12 @@ class Side:
         self.library, self.tokens = library, library.tokens
         self.lengths = np.array([len(t) for t in self.tokens], np.int64)
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         return self.library.encode(texts)
 
-    def covers(self, ids: list[int], text: bytes) -> bool:
+    def covers(self, ids: np.ndarray, text: bytes) -> bool:
         tokens = self.tokens
-        return b"".join([tokens[i] for i in ids]) == text
+        return b"".join([tokens[i] for i in ids.tolist()]) == text
 
 
 @cache
@@ -106,7 +142,9 @@ def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, last_a: np.ndarray) -> n
         open_ = low < high  # places from low to high - 1 may hold a cut
         if not open_.any():
             break
-        low, high, middle, radius = low[open_], high[open_], middle[open_], radius[open_]
+        order = np.flatnonzero(open_)
+        order = order[np.argsort(middle[order], kind="stable")]  # neighbours are looked up one after another
+        low, high, middle, radius = low[order], high[order], middle[order], radius[order]
         left, right = np.maximum(low, middle - radius), np.minimum(high, middle + radius + 1)
         counts = right - left
         at = ranges(left, counts)
@@ -137,10 +175,9 @@ def _lists(values: np.ndarray, counts: np.ndarray, kind=np.int32) -> pa.ListArra
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(values.astype(kind)))
 
 
-def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+def _flat(lists: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     counts = np.array([len(x) for x in lists], np.int64)
-    flat = np.fromiter((i for x in lists for i in x), np.int64, int(counts.sum()))
-    return flat, counts
+    return np.concatenate([np.zeros(0, np.int32), *lists]).astype(np.int64), counts
 
 
 def _per_text(places: np.ndarray, counts: np.ndarray) -> np.ndarray:
@@ -148,64 +185,27 @@ def _per_text(places: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.diff(np.searchsorted(places, np.concatenate([[0], np.cumsum(counts)])))
 
 
-def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
-    """Tokens of both sides and their groups, one row per row of ``docs`` (``doc_id``, ``text``).
-
-    ``a`` and ``b`` are the token ids; ``ends_a`` and ``ends_b`` say, group by group, how
-    many tokens of each side the text has up to the end of the group.
-
-    * Texts that are NULL or empty, or whose tokens on either side don't spell a space and
-      the text, have empty lists.
-    * Rows are worked on one by one: repeated rows and ids stay, a NULL id stays NULL.
-    * Texts of any length are aligned whole. Other columns are ignored; an empty table gives an empty result.
-    """
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        one, two = sides(path_a, path_b)
-        for batch in batches:
-            column = batch.column("text")
-            for lo, hi, _, _ in slices(column):
-                texts = [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
-                pairs = [
-                    (a, b) if t and one.covers(a, s := (" " + t).encode()) and two.covers(b, s) else ([], [])
-                    for t, a, b in zip(texts, one.encode(texts), two.encode(texts), strict=True)
-                ]
-                a, count_a = _flat([p[0] for p in pairs])
-                b, count_b = _flat([p[1] for p in pairs])
-                ends_a, ends_b = np.cumsum(one.lengths[a]), np.cumsum(two.lengths[b])
-                cuts_a = shared_cuts(ends_a, ends_b, np.cumsum(count_a[count_a > 0]) - 1)
-                cuts_b = np.searchsorted(ends_b, ends_a[cuts_a])
-                groups = _per_text(cuts_a, count_a)
-                before_a, before_b = np.cumsum(count_a) - count_a, np.cumsum(count_b) - count_b
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(lo, hi - lo), _lists(a, count_a), _lists(b, count_b),
-                     _lists(cuts_a + 1 - np.repeat(before_a, groups), groups), _lists(cuts_b + 1 - np.repeat(before_b, groups), groups)],
-                    names=["doc_id", "a", "b", "ends_a", "ends_b"],
-                )
-
-    lists = ", ".join(f"{c} array<int>" for c in ("a", "b", "ends_a", "ends_b"))
-    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {lists}")
-
-
-def _numbers(column: pa.ListArray) -> tuple[np.ndarray, np.ndarray]:
-    return column.flatten().to_numpy(zero_copy_only=False).astype(np.int64), np.diff(column.offsets.to_numpy()).astype(np.int64)
-
-
 def _counted(group: np.ndarray, ids: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     codes, times = np.unique(group * wide + ids, return_counts=True)
     return codes // wide, codes % wide, times
 
 
 class Aligned:
-    """Groups of the texts of one batch as flat arrays."""
-
-    def __init__(self, batch: pa.RecordBatch):
-        (self.a, self.count_a), (self.b, self.count_b) = _numbers(batch.column("a")), _numbers(batch.column("b"))
-        (ends_a, self.groups), (ends_b, _) = _numbers(batch.column("ends_a")), _numbers(batch.column("ends_b"))
-        self.text = np.repeat(np.arange(batch.num_rows), self.groups)
-        self.ends_a = ends_a + (np.cumsum(self.count_a) - self.count_a)[self.text]
-        self.ends_b = ends_b + (np.cumsum(self.count_b) - self.count_b)[self.text]
+    """Tokens and groups of some texts as flat arrays; ``ends_a`` and ``ends_b`` run on over texts."""
+
+    def __init__(self, texts: list[str], one: Side, two: Side):
+        nothing = np.zeros(0, np.int32)
+        pairs = [
+            (a, b) if t and one.covers(a, s := f" {t}".encode()) and two.covers(b, s) else (nothing, nothing)
+            for t, a, b in zip(texts, one.encode(texts), two.encode(texts), strict=True)
+        ]
+        self.a, self.count_a = _flat([p[0] for p in pairs])
+        self.b, self.count_b = _flat([p[1] for p in pairs])
+        ends_a, ends_b = np.cumsum(one.lengths[self.a]), np.cumsum(two.lengths[self.b])
+        cuts_a = shared_cuts(ends_a, ends_b, np.cumsum(self.count_a[self.count_a > 0]) - 1)
+        self.groups = _per_text(cuts_a, self.count_a)
+        self.ends_a, self.ends_b = cuts_a + 1, np.searchsorted(ends_b, ends_a[cuts_a]) + 1
+        self.text = np.repeat(np.arange(len(texts)), self.groups)
         self.size_a, self.size_b = np.diff(self.ends_a, prepend=0), np.diff(self.ends_b, prepend=0)
 
     def links(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -234,40 +234,81 @@ class Aligned:
         # Tokens of a group side by side: A's, then B's.
         place_a = np.arange(n_a) + np.repeat(self.ends_b - self.size_b, self.size_a)
         place_b = np.arange(n_b) + np.repeat(self.ends_a, self.size_b)
-        marks = np.full(n_a + n_b, ",", dtype="U1")
-        marks[place_a[self.ends_a - 1]] = "|"
-        marks[place_b[self.ends_b - 1]] = ";"
+        marks = np.zeros(n_a + n_b, np.int64)
+        marks[place_a[self.ends_a - 1]] = 1
+        marks[place_b[self.ends_b - 1]] = 2
         ids = np.empty(n_a + n_b, np.int64)
         ids[place_a], ids[place_b] = self.a, self.b
-        out, at, ids, marks = [], 0, ids.tolist(), marks.tolist()
+        written, out, at = _written(int(ids.max(initial=0)))[ids * 3 + marks].tolist(), [], 0
         for size in (self.count_a + self.count_b).tolist():
-            out.append("".join([f"{i}{m}" for i, m in zip(ids[at : at + size], marks[at : at + size], strict=True)])[:-1])
+            out.append("".join(written[at : at + size])[:-1])
             at += size
         return out
 
 
-def describe(aligned: DataFrame) -> DataFrame:
-    """Counts, hashed groups and different linked pairs of each row of ``align``'s result."""
-    kind = aligned.schema["doc_id"].dataType.simpleString()
+@cache
+def _numbers(size: int) -> np.ndarray:
+    return np.array([f"{i}{mark}" for i in range(size) for mark in ",|;"], object)
+
+
+def _written(most: int) -> np.ndarray:
+    """Decimal numbers up to ``most`` at least, each with a comma, a bar and a semicolon behind it."""
+    return _numbers(1 << max(most + 1, 1).bit_length())
+
+
+def _each_slice(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[tuple[pa.Array, Aligned]]:
+    """Ids of documents and their alignment, a slice of texts at a time."""
+    one, two = sides(path_a, path_b)
+    for batch in batches:
+        column = batch.column("text")
+        for lo, hi, _, _ in slices(column):
+            texts = [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
+            yield batch.column("doc_id").slice(lo, hi - lo), Aligned(texts, one, two)
+
+
+def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """Tokens of both sides and their groups, one row per row of ``docs`` (``doc_id``, ``text``).
+
+    ``a`` and ``b`` are the token ids; ``ends_a`` and ``ends_b`` say, group by group, how
+    many tokens of each side the text has up to the end of the group.
+
+    * Texts that are NULL or empty, or whose tokens on either side don't spell a space and
+      the text, have empty lists.
+    * Rows are worked on one by one: repeated rows and ids stay, a NULL id stays NULL.
+    * Texts of any length are aligned whole. Other columns are ignored; an empty table gives an empty result.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, own in _each_slice(batches, path_a, path_b):
+            before_a, before_b = np.cumsum(own.count_a) - own.count_a, np.cumsum(own.count_b) - own.count_b
+            yield pa.RecordBatch.from_arrays(
+                [ids, _lists(own.a, own.count_a), _lists(own.b, own.count_b),
+                 _lists(own.ends_a - before_a[own.text], own.groups), _lists(own.ends_b - before_b[own.text], own.groups)],
+                names=["doc_id", "a", "b", "ends_a", "ends_b"],
+            )
+
+    lists = ", ".join(f"{c} array<int>" for c in ("a", "b", "ends_a", "ends_b"))
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, {lists}")
+
+
+def describe(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """Counts, hashed groups and different linked pairs of each row of ``docs``, with the rules of ``align``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            # Parts of whole texts with about as many tokens as a slice of texts has.
-            tokens = np.cumsum(np.diff(whole.column("a").offsets.to_numpy()))
-            for part in np.split(np.arange(whole.num_rows), np.flatnonzero(np.diff(tokens // (1 << 17))) + 1):
-                batch = whole.slice(part[0], len(part)) if len(part) else whole
-                own = Aligned(batch)
-                text, pair, times = own.links()
-                per_text = np.bincount(text, minlength=batch.num_rows)
-                links = np.bincount(own.text, weights=own.size_a * own.size_b, minlength=batch.num_rows).astype(np.int64)
-                hashed = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in own.spelled()]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id"), pa.array(own.count_a), pa.array(own.count_b), pa.array(own.groups), pa.array(links),
-                     pa.array(hashed, pa.string()), _lists(pair, per_text, np.int64), _lists(times, per_text, np.int64)],
-                    names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
-                )
-
-    return aligned.select("doc_id", "a", "b", "ends_a", "ends_b").mapInArrow(
+        for ids, own in _each_slice(batches, path_a, path_b):
+            text, pair, times = own.links()
+            per_text = np.bincount(text, minlength=len(ids))
+            links = np.bincount(own.text, weights=own.size_a * own.size_b, minlength=len(ids)).astype(np.int64)
+            hashed = [hashlib.sha256(s.encode()).hexdigest() if s else "" for s in own.spelled()]
+            yield pa.RecordBatch.from_arrays(
+                [ids, pa.array(own.count_a), pa.array(own.count_b), pa.array(own.groups), pa.array(links),
+                 pa.array(hashed, pa.string()), _lists(pair, per_text, np.int64), _lists(times, per_text, np.int64)],
+                names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "pairs", "times"],
+            )
+
+    return docs.select("doc_id", "text").mapInArrow(
         run, f"doc_id {kind}, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, pairs array<long>, times array<long>"
     )
 
@@ -281,8 +322,8 @@ def pair_counts(described: DataFrame) -> DataFrame:
     return cut(joined.select("pair", "documents", (F.col("documents") == F.col("most")).alias("best")))
 
 
-def digest(aligned: DataFrame) -> DataFrame:
-    """One row per row of ``align``'s result: counts of tokens, groups and links, and how common its links are.
+def digest(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:
+    """One row per row of ``docs``: counts of tokens, groups and links, and how common its links are.
 
     ``n_best`` are the links whose pair is the commonest of its A id, ties included;
     ``count_sum`` sums the documents that hold its pair over all links. Each row counts as
@@ -292,7 +333,7 @@ def digest(aligned: DataFrame) -> DataFrame:
     The table of pairs grows with the vocabularies and the text; it is broadcast only where
     its counted rows fit, otherwise pairs are joined by shuffle.
     """
-    described = scratch_table(describe(aligned).withColumn("row", F.monotonically_increasing_id()), "aligned")
+    described = scratch_table(describe(docs, path_a, path_b).withColumn("row", F.monotonically_increasing_id()), "aligned")
     counts = small_side(pair_counts(described), PAIR_BYTES)
     links = described.select("row", F.explode(F.arrays_zip("pairs", "times")).alias("link")).select("row", F.col("link.pairs").alias("pair"), F.col("link.times").alias("times"))
     known = links.join(counts, "pair").groupBy("row").agg(

@@ -82,7 +82,7 @@ def op10_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    return alignment.digest(alignment.align(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model")))
+    return alignment.digest(docs, tokenizer_file("byte_bpe_50k.json"), tokenizer_file("piece_bpe_32k.model"))
 
 
 def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
