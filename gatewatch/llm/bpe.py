@@ -33,7 +33,7 @@ SHORT = 256
 #: Words side by side.
 ROWS = 4096
 #: Pieces and words remembered per worker, each, and the longest of them.
-MOST_PIECES, LONGEST_PIECE = 300_000, 128
+MOST_PIECES, LONGEST_PIECE = 500_000, 128
 #: Characters of a text that are cut into pieces at a time.
 STRETCH = 1 << 20
 _PIECE = re.compile(r"[^\x20\x09-\x0D]+")
@@ -166,10 +166,13 @@ class Recent:
 
     def missing(self, texts: Iterable[str]) -> list[str]:
         """Different ones of ``texts`` that are not known; those that are can be looked up in ``young`` from here on."""
-        absent = set(texts).difference(self.young)
-        again = absent.intersection(self.old)
-        self.young.update((t, self.old[t]) for t in again)
-        return list(absent - again)
+        absent, new, old = set(texts).difference(self.young), [], self.old
+        for text in absent:
+            if text in old:
+                self.young[text] = old[text]
+            else:
+                new.append(text)
+        return new
 
     def learn(self, learned: dict[str, bytes]) -> None:
         self.young |= learned
