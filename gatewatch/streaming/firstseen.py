@@ -72,6 +72,7 @@ class FirstSeenFlagger(StatefulProcessor):
         known: dict[tuple, tuple | None] = {}
         runs: dict[tuple, list[list]] = {}
         kinds: dict = {}
+        any_known = self.pairs.exists()
         for batch in rows:
             kinds = batch.dtypes[_NAMES].to_dict()
             passed, leads = self._runs(batch)
@@ -79,7 +80,7 @@ class FirstSeenFlagger(StatefulProcessor):
             displaced = []
             for pair, first, last, event in leads:
                 if pair not in runs:
-                    known[pair], runs[pair] = self.pairs.getValue(pair), []
+                    known[pair], runs[pair] = self.pairs.getValue(pair) if any_known else None, []
                 self._add(runs[pair], [first, last, event], displaced)
             if displaced:
                 yield self._flagged(pd.DataFrame(displaced, columns=_NAMES).astype(kinds), False)

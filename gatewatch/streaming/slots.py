@@ -29,7 +29,8 @@ from gatewatch.config import HopSpec
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_STATE = StructType([StructField("closed", LongType()), StructField("rows", BinaryType())])
+# Slots closed so far, when the user is woken next, and the counts.
+_STATE = StructType([StructField("closed", LongType()), StructField("timer", LongType()), StructField("rows", BinaryType())])
 WINDOWS = StructType(
     [
         StructField("closes", TimestampType()),
@@ -129,16 +130,22 @@ class SlotWindows(StatefulProcessor):
         )
         stored = self.state.get()
         closed = int(more.slots.min()) if stored is None else stored[0]
-        yield from self._advance(key[0], closed, more if stored is None else Rows.unpack(stored[1]).with_more(more), timerValues)
+        rows = more if stored is None else Rows.unpack(stored[2]).with_more(more)
+        yield from self._advance(key[0], closed, rows, timerValues, None if stored is None else stored[1])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         stored = self.state.get()
         if stored is not None:
-            yield from self._advance(key[0], stored[0], Rows.unpack(stored[1]), timerValues)
+            waiting = stored[1] if stored[1] > expiredTimerInfo.getExpiryTimeInMs() else None
+            yield from self._advance(key[0], stored[0], Rows.unpack(stored[2]), timerValues, waiting)
 
-    def _advance(self, user: str, closed: int, rows: Rows, timerValues) -> Iterator[pd.DataFrame]:
-        """Give out what closed from slot ``closed`` on, and keep what later windows need."""
-        now = max(timerValues.getCurrentWatermarkInMs() // (self.width * 1000), closed)
+    def _advance(self, user: str, closed: int, rows: Rows, timerValues, timer: int | None) -> Iterator[pd.DataFrame]:
+        """Give out what closed from slot ``closed`` on, and keep what later windows need.
+
+        ``timer`` is when the user is to be woken, if that is still to come.
+        """
+        watermark = timerValues.getCurrentWatermarkInMs()
+        now = max(watermark // (self.width * 1000), closed)
         yield self._at_slots(user, closed, now, rows) if self.at_slots else self._windows(user, closed, now, rows)
         # Slides that have not closed yet begin here; their windows reach back from there.
         oldest = min(now // r * r - r * (n - 1) for r, n in zip(self.ratios, self.lengths, strict=True))
@@ -150,22 +157,20 @@ class SlotWindows(StatefulProcessor):
         if len(rows.slots) == 0:
             self.state.clear()
             return
-        self.state.update((now, rows.pack()))
-        self._wake(now, int(rows.slots.max()))
+        at = self._next(now, int(rows.slots.max()))
+        if at != timer:
+            if timer is not None and timer > watermark:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(at)
+        self.state.update((now, at, rows.pack()))
 
-    def _wake(self, now: int, latest: int) -> None:
-        """One timer: when the next window that holds the latest events closes, or at the end of their reach."""
+    def _next(self, now: int, latest: int) -> int:
+        """When to wake the user: when the next window that holds the latest events closes, or at the end of their reach."""
         coming = [(now // r + 1) * r for r, n in zip(self.ratios, self.lengths, strict=True) if not self.at_slots and (latest // r + n) * r > now]
         if self.at_slots:
             step = max(self.ratios)
             coming = [(now // step + 1) * step] if latest >= now // step * step else [now + self.reach]
-        at = min(coming, default=now + 1) * self.width * 1000
-        waiting = list(self.handle.listTimers())
-        for other in waiting:
-            if other != at:
-                self.handle.deleteTimer(other)
-        if at not in waiting:
-            self.handle.registerTimer(at)
+        return min(coming, default=now + 1) * self.width * 1000
 
     def _windows(self, user: str, closed: int, now: int, rows: Rows) -> pd.DataFrame:
         found = []
