@@ -27,9 +27,10 @@ def brute(rows):
             assert a == library.encode(" " + text, add_special_tokens=False).ids
             if b"".join(one.tokens[i] for i in a) == spelled == b"".join(two.tokens[i] for i in b):
                 ends = [np.cumsum([len(s.tokens[i]) for i in ids]).tolist() for s, ids in ((one, a), (two, b))]
+                places = [{end: n + 1 for n, end in enumerate(e)} for e in ends]
                 at = [0, 0]
                 for end in sorted(set(ends[0]) & set(ends[1])):
-                    to = [e.index(end) + 1 for e in ends]
+                    to = [p[end] for p in places]
                     groups.append((a[at[0] : to[0]], b[at[1] : to[1]]))
                     at = to
         links = Counter((x, y) for g, h in groups for x in g for y in h)
