@@ -26,12 +26,17 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def small_side(df: DataFrame, row_bytes: int, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """``df`` with a broadcast hint if its counted rows fit ``limit``; else as it is.
+def small_side(df: DataFrame, row_bytes: int | Column, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` with a broadcast hint if its rows fit ``limit``; else as it is.
 
-    ``df`` should be cut, since its rows are counted here.
+    ``row_bytes`` is the size of every row, or a column that measures each (rows with lists,
+    maps or strings of any length). ``df`` should be cut, since it is read here.
     """
-    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+    if isinstance(row_bytes, Column):
+        held = df.agg(F.sum(row_bytes)).first()[0] or 0
+    else:
+        held = df.count() * row_bytes
+    return F.broadcast(df) if held <= limit else df
 
 
 def held_out(doc_id: str = "doc_id") -> Column:

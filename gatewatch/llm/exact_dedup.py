@@ -1,10 +1,11 @@
 """Exact deduplication by content-defined chunk recipes.
 
 Every text is cut where a hash of the last bytes says so, hence equal texts are cut
-alike. A chunk has a key (128-bit digest and length). Chunks whose key occurs once settle
-their document: it has no copy. Only documents all of whose chunk keys are shared are
-read again; their chunks are deduplicated by content to verified identifiers, and the
-ordered lists of identifiers are compared. Long texts that are unique never move.
+alike. A chunk has a key (128-bit digest and length), and a text the ordered list of its
+chunks' keys. A list that one row has settles that row: it has no copy. Only documents with
+a shared list are read again; their chunks are deduplicated by content to verified
+identifiers, and the ordered lists of identifiers are compared. Long texts that are unique
+never move, and what moves of a text is one list, in proportion to its length.
 """
 
 from __future__ import annotations
@@ -97,6 +98,14 @@ def _contents(batches: Iterator[pa.RecordBatch], digest_bytes: int) -> Iterator[
 MOST_UNSAFE = 10_000
 
 
+def recipes(source: DataFrame, digest_bytes: int = 16, unsafe: frozenset[bytes] | None = frozenset()) -> DataFrame:
+    """``doc_id``, ``text_sha256``, ``recipe`` (chunk identifiers in order) and its hash ``recipe_key``, for texts without NULLs."""
+    hashed = source.select("doc_id", "text", F.sha2("text", 256).alias("text_sha256"))
+    schema = f"doc_id {source.schema['doc_id'].dataType.simpleString()}, text_sha256 string, recipe array<binary>"
+    made = hashed.mapInArrow(lambda batches: _recipes(batches, digest_bytes, unsafe), schema)
+    return cut(made.withColumn("recipe_key", F.xxhash64("recipe")))
+
+
 def dedup_exact(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
     """One row per row of ``docs`` (``doc_id``, ``text``): which row of its equal texts stays.
 
@@ -112,21 +121,15 @@ def dedup_exact(docs: DataFrame, digest_bytes: int = 16) -> DataFrame:
     ``digest_bytes`` shortens digests, so that tests can force equal keys of unlike chunks.
     """
     source = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text_sha256 string, recipe array<binary>"
-
-    def recipes(unsafe: frozenset[bytes] | None) -> DataFrame:
-        hashed = source.withColumn("text_sha256", F.sha2("text", 256))
-        made = hashed.mapInArrow(lambda batches: _recipes(batches, digest_bytes, unsafe), schema)
-        return cut(made.withColumn("recipe_key", F.xxhash64("recipe")))
-
-    rows = recipes(frozenset())
-    candidates = cut(_settled(rows))
+    rows = recipes(source, digest_bytes)
+    candidates = cut(settled(rows))
     if unsafe := _unsafe_keys(source, rows, candidates, digest_bytes):
-        rows = recipes(frozenset(unsafe) if len(unsafe) <= MOST_UNSAFE else None)
-        candidates = cut(_settled(rows))
+        rows = recipes(source, digest_bytes, frozenset(unsafe) if len(unsafe) <= MOST_UNSAFE else None)
+        candidates = cut(settled(rows))
     right = candidates.select(F.col("recipe_key").alias("right_key"), F.col("recipe").alias("right_recipe"), "keep", "rows")
+    right_bytes = F.aggregate("right_recipe", F.lit(64), lambda held, part: held + F.octet_length(part) + 16)
     joined = rows.join(
-        small_side(right, 200), (F.col("recipe_key") == F.col("right_key")) & (F.col("recipe") == F.col("right_recipe")), "left"
+        small_side(right, right_bytes), (F.col("recipe_key") == F.col("right_key")) & (F.col("recipe") == F.col("right_recipe")), "left"
     )
     keep = F.when(F.col("rows").isNull(), F.col("doc_id")).otherwise(F.col("keep"))
     return joined.select(
@@ -156,21 +159,13 @@ def keep_first_copies(docs: DataFrame) -> DataFrame:
     return stays.unionByName(repeated)
 
 
-def _settled(rows: DataFrame) -> DataFrame:
-    """Different recipes all of whose identifiers are shared; with the rows that have them and the id that stays.
+def settled(rows: DataFrame) -> DataFrame:
+    """Different recipes that several rows have; with their number and the id that stays.
 
-    A recipe with an identifier that no other place has belongs to one row and is left out.
+    All identifiers of such a recipe are shared. A row whose recipe is its own has no copy and is
+    left out. A recipe moves once, whole, after rows of one map task are counted together.
     """
-    lists = rows.groupBy("recipe_key", "recipe").agg(F.max("doc_id").alias("keep"), F.count(F.lit(1)).alias("rows"))
-    parts = lists.select("recipe_key", "recipe", "keep", "rows", F.explode_outer("recipe").alias("part"))
-    shared = parts.groupBy("part").agg(F.sum("rows").alias("uses")).where("uses > 1 or part is null")
-    kept = parts.join(shared.withColumnRenamed("part", "shared_part"), F.col("part").eqNullSafe(F.col("shared_part")), "left")
-    return (
-        kept.groupBy("recipe_key", "recipe")
-        .agg(F.min(F.col("shared_part").isNotNull() | F.col("part").isNull()).alias("all_shared"), F.max("keep").alias("keep"), F.max("rows").alias("rows"))
-        .where("all_shared and rows > 1")
-        .drop("all_shared")
-    )
+    return rows.groupBy("recipe_key", "recipe").agg(F.max("doc_id").alias("keep"), F.count(F.lit(1)).alias("rows")).where("rows > 1")
 
 
 def _unsafe_keys(source: DataFrame, rows: DataFrame, candidates: DataFrame, digest_bytes: int) -> list[bytes]:

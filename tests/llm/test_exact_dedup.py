@@ -4,7 +4,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from gatewatch.llm.exact_dedup import LEAST, MOST, chunk_ends, dedup_exact, keep_first_copies
+from gatewatch.llm.exact_dedup import LEAST, MOST, chunk_ends, dedup_exact, keep_first_copies, recipes, settled
 
 from .conftest import prose
 
@@ -62,6 +62,20 @@ def test_chunks_without_a_cut_end_at_the_most():
     assert chunk_ends(np.zeros(2 * MOST + 5, np.uint8))[-1] == 2 * MOST + 5
 
 
+def test_very_long_texts_move_one_list_each(table):
+    """Two long texts that differ in a character and a copy of each: what moves grows as the texts do."""
+    moved = []
+    for megabytes in (2, 4):
+        text = (prose(7, 40_000) * 40)[: megabytes << 20]
+        docs = table([(1, text), (2, text[:-1] + "#"), (3, text), (4, text[:-1] + "#"), (5, "short")])
+        rows = dedup_exact(docs).collect()
+        assert {r.doc_id: (r.keep_id, r.group_size) for r in rows} == {1: (3, 2), 2: (4, 2), 3: (3, 2), 4: (4, 2), 5: (5, 1)}
+        shared = settled(recipes(docs.select("doc_id", "text"))).selectExpr("size(recipe) as n").collect()
+        assert len(shared) == 2
+        moved.append(sum(r.n for r in shared))
+    assert moved[1] < 2.2 * moved[0]
+
+
 def test_first_copies_keep_whole_rows(edges):
     kept = keep_first_copies(edges)
     assert kept.schema == edges.schema
