@@ -207,13 +207,13 @@ def learn(
     """A model from rows of ``labels`` (``doc_id``, ``label``) that are not held out.
 
     At most about ``sample_rows`` rows are learned from, as many of either label if there
-    are; texts that repeat in it count once. Without usable labels all texts score 0.
+    are; texts that repeat in it with one label count once, under their least id. Without usable labels all texts score 0.
     """
     marked = labels.where(F.col(label).isNotNull() & ~held_out("doc_id")).groupBy(F.col("doc_id").alias("label_id")).agg(F.max(F.col(label).cast("int")).alias("label"))
     marked = cut(marked)
     totals = {r["label"]: r["count"] for r in marked.groupBy("label").count().collect()}
     sample = F.broadcast(cut(bounded_sample(marked, "label_id", sample_rows, "label")))
-    rows = cut(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, F.col("doc_id") == F.col("label_id")).select("doc_id", "text", "label").dropDuplicates(["text", "label"]))
+    rows = cut(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(sample, F.col("doc_id") == F.col("label_id")).groupBy("text", "label").agg(F.min("doc_id").alias("doc_id")))
     taken = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     counted = rows.select("text", "label").mapInArrow(_count_by_label, "term long, positive long, negative long")
     counted = counted.groupBy("term").agg(F.sum("positive").alias("a"), F.sum("negative").alias("b")).where("a + b > 1")
