@@ -7,7 +7,9 @@ share of the entity's own information. The chance of the entity given the term e
 as the lower end of its confidence interval (Wilson), so a term that occurs only where the
 entity does reveals the more of it the more texts say so; one text counts, but for less.
 Terms above one threshold are removed, those above a lower one generalised, wherever they
-stand.
+stand. Since any share of an entity's information becomes easier to reach as the table
+grows, the lower end itself must reach a fixed chance as well, at every size: one meeting
+of term and entity is evidence only if the term stands in no other text.
 
 Everything is SQL functions and joins. Patterns run iteratively in the JVM's engine: what
 would be a repeated group is first marked by a character of its own (same length), so
@@ -34,6 +36,8 @@ NEAR_WORDS, NEAR_CHARS, LETTERS = 8, 160, 3
 CONFIDENCE = 1.645
 #: Share of an entity's information at which a term is removed, and at which it is generalised.
 REMOVE, GENERALISE = 0.9, 0.6
+#: Least lower end of the chance of the entity given the term; 1 of 1, 2 of 3 and 3 of 5 texts reach it, 1 of 2 does not.
+LEAST_CHANCE = 0.25
 
 #: Flagged terms, marked and repeated texts are broadcast up to this many bytes; they grow with the entities.
 HELD_BYTES = 64 << 20
@@ -171,12 +175,12 @@ def revealing_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataF
     def share(n_term: str) -> Column:
         """ln(chance * texts / n_entity) against ln(texts / n_entity), with the lower end of n_both / n_term as chance.
 
-        It falls with n_term and grows with n_both.
+        It falls with n_term and grows with n_both. Without enough evidence it is 0.
         """
         chance = _lower_end(F.col("n_both"), F.col(n_term))
         mutual = F.log(chance * F.lit(texts) / F.col("n_entity"))
         own = F.log(F.lit(texts) / F.col("n_entity"))
-        return F.when(own > 0, mutual / own).otherwise(F.lit(0.0))
+        return F.when((own > 0) & (chance >= LEAST_CHANCE), mutual / own).otherwise(F.lit(0.0))
 
     # A term is in at least the texts in which it is near some entity. Common words are out by that alone.
     near = entities.select("key", F.explode("terms").alias("near_term")).distinct().groupBy("near_term").agg(F.count(F.lit(1)).alias("n_near"))
@@ -190,17 +194,18 @@ def revealing_terms(found: DataFrame, docs: DataFrame) -> tuple[DataFrame, DataF
     best = pairs.join(per_term, "term").groupBy("term").agg(F.max(share("n_term")).alias("disclosure")).where(F.col("disclosure") >= GENERALISE)
     action = F.when(F.col("disclosure") >= REMOVE, "remove").otherwise("generalise")
     flagged = cut(best.withColumn("action", action))
-    return flagged, cut(rows.select("key", terms).join(small_side(flagged.select("term"), 64, HELD_BYTES), "term", "left_semi").distinct())
+    return flagged, cut(rows.select("key", terms).join(small_side(flagged.select("term"), F.lit(64) + F.octet_length("term"), HELD_BYTES), "term", "left_semi").distinct())
 
 
 def _term_spans(docs: DataFrame, flagged: DataFrame, places: DataFrame) -> DataFrame:
     """Spans of flagged terms by text: ``key``, ``terms`` (start, end, action)."""
-    wanted = places.join(small_side(flagged, 64, HELD_BYTES), "term").groupBy("key").agg(
+    wanted = places.join(small_side(flagged, F.lit(96) + F.octet_length("term"), HELD_BYTES), "term").groupBy("key").agg(
         F.map_from_entries(F.collect_list(F.struct("term", "action"))).alias("actions")
     )
     wanted = cut(wanted)
+    wanted_bytes = F.lit(64) + F.size("actions") * 64 + F.octet_length(F.array_join(F.map_keys("actions"), ""))
     texts = docs.select(F.coalesce("text", F.lit("")).alias("text")).withColumn("text_key", _key(F.col("text")))
-    some = texts.join(small_side(wanted, 256, HELD_BYTES), F.col("text_key") == F.col("key"))
+    some = texts.join(small_side(wanted, wanted_bytes, HELD_BYTES), F.col("text_key") == F.col("key"))
     words = F.array_join(F.sort_array(F.map_keys("actions")), "|")
     pattern = F.concat(F.lit(r"(?iu)(?<!\p{L})(?:"), words, F.lit(r")(?!\p{L})"))
     spans = _spans(F.col("text"), pattern)
@@ -222,7 +227,7 @@ def detect(docs: DataFrame) -> DataFrame:
     found = cut(_found(docs))
     flagged, places = revealing_terms(found, docs)
     spans = cut(_term_spans(docs, flagged, places)).withColumnRenamed("key", "span_key")
-    joined = found.join(small_side(spans, 256, HELD_BYTES), F.col("key") == F.col("span_key"), "left")
+    joined = found.join(small_side(spans, F.lit(64) + F.size("terms") * 64, HELD_BYTES), F.col("key") == F.col("span_key"), "left")
     all_base = F.concat(*KINDS)
     terms = F.coalesce("terms", F.array().cast("array<struct<start: int, end: int, action: string>>"))
     clear = F.filter(terms, lambda t: ~F.exists(all_base, lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])))

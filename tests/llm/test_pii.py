@@ -85,6 +85,27 @@ def test_an_entity_in_one_text_and_in_two(table):
     assert texts[1] == "the [TERM] and often of [EMAIL] the"
 
 
+def test_a_chance_meeting_flags_no_other_text(table):
+    """Rare words that once stood near an address stay in the texts that have nothing to do with it, at every size."""
+    for others in (50, 400):
+        rows = [(n, f"rare{chr(97 + n)}word beside u{n}@one.example {prose(n, 12)}") for n in range(6)]
+        rows += [(100 + n, f"{prose(n + 300, 20)} rare{chr(97 + n % 6)}word {prose(n + 900, 10)}") for n in range(12)]
+        rows += [(1000 + n, f"{prose(n + 2000, 40)} beside") for n in range(others)]
+        got = pii.detect(table(rows)).collect()
+        assert [r.doc_id for r in got if r.doc_id >= 100 and r.terms] == []
+
+
+def test_a_broadcast_is_measured(table):
+    from pyspark.sql import functions as F
+
+    from gatewatch.llm.common import cut, small_side
+
+    rows = cut(table([(1, "x" * 5000), (2, None)]))
+    for limit, hinted in ((4999, False), (6000, True)):
+        plan = small_side(rows, F.octet_length("text"), limit)._jdf.queryExecution().logical().toString()
+        assert ("broadcast" in plan.lower()) is hinted
+
+
 def test_confidence_grows_with_the_texts(spark):
     rows = spark.createDataFrame([(1, 1), (2, 2), (8, 8), (1, 2), (1, 10), (0, 3)], "hits long, of long")
     got = [round(r[0], 3) for r in rows.select(pii._lower_end(rows.hits, rows.of)).collect()]
