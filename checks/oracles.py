@@ -248,6 +248,10 @@ CTES["all_minutes"] = """
                                         INTERVAL 1 MINUTE)) AS m) g
     LEFT JOIN minutes ON g.m = minutes.minute"""
 NEEDS["all_minutes"] = ["minutes"]
+CTES["closed_minutes"] = """
+    SELECT * FROM all_minutes
+    WHERE minute + INTERVAL 1 MINUTE <= (SELECT max(event_time) FROM auth) - INTERVAL 5 MINUTE"""
+NEEDS["closed_minutes"] = ["all_minutes", "auth"]
 CTES["lag_minutes"] = """
     SELECT date_trunc('minute', processing_time) AS minute, max(lag) AS value FROM lagged GROUP BY 1"""
 NEEDS["lag_minutes"] = ["lagged"]
@@ -735,6 +739,8 @@ def oracle_sql() -> dict[str, str]:
                FROM rolling""",
             "rolling",
         ),
+        # A stream judges a minute once the watermark, five minutes behind the newest event, has passed it.
+        "stream_low_volume_alarm": _alarm("closed_minutes", 5, 5, "closed_minutes"),
         "replay_in_steps": sql("SELECT event_id, event_time, user_id, computer_id FROM auth", "auth"),
         "stream_features": sql(
             f"SELECT {FEATURE_COLUMNS} FROM features", "features"

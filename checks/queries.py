@@ -25,7 +25,7 @@ from gatewatch.session import prepare, scratch_path
 from gatewatch.sources import payload, tables, validate
 from gatewatch.sources.activity import auth_events, between
 from gatewatch.sources.logs import parse_lines
-from gatewatch.streaming import pipeline, replay, rolling, tail
+from gatewatch.streaming import alarms, pipeline, replay, rolling, tail
 from gatewatch.streaming.sources import read_payloads, validated_stream
 
 # The test data never reaches the default thresholds, so these are lower.
@@ -531,6 +531,9 @@ PLANS: dict[str, Callable[[Inputs], DataFrame]] = {
     "stream_rolling_activity": lambda i: i.drained(
         rolling.rolling_stream(pipeline.unique_stream(i.stream(), "5 minutes")), "stream-rolling"
     ).select("event_id", "login_count_1h", "unique_computers_1h", "login_count_24h", "unique_computers_24h"),
+    "stream_low_volume_alarm": lambda i: i.drained(
+        alarms.low_volume_stream(pipeline.unique_stream(i.stream(), "5 minutes"), threshold=2), "stream-alarm"
+    ).drop("series"),
     "replay_in_steps": _replayed,
     "stream_features": _features_stream,
     "stream_curated": _curated_stream,

@@ -12,10 +12,11 @@ from gatewatch.operators.firstseen import flag_new_devices, seen_pairs
 from gatewatch.operators.rolling import rolling_activity
 from gatewatch.operators.rollups import host_access_daily
 from gatewatch.plans.curated import build_curated
-from gatewatch.plans.kpis import missing_dates
+from gatewatch.plans.kpis import alarm_minutes, low_volume_alarm, minute_lag, missing_dates
 from gatewatch.plans.tables import refresh_days
 from gatewatch.sources import tables as scans
 from gatewatch.streaming import pipeline, replay, tail
+from gatewatch.streaming.alarms import lag_stream, low_volume_stream
 from gatewatch.streaming.commits import complete_days
 from gatewatch.streaming.features import stream_features
 from gatewatch.streaming.firstseen import flag_new_devices_stream
@@ -121,16 +122,12 @@ def drain(spark, stream, folder, name):
     return spark.read.schema(stream.schema).parquet(f"{folder}/{name}")
 
 
-def files(spark, folder, batches):
-    """A stream of event files, one micro-batch each, with each file's order kept."""
+def files(spark, folder, batches, watermark="5 minutes"):
+    """A stream of event files, one micro-batch each, with each file's order kept; None: without a watermark."""
     for n, rows in enumerate(batches):
         frame(spark, rows).coalesce(1).write.parquet(f"{folder}/src/{n:02d}")
-    return (
-        spark.readStream.schema(schemas.EVENTS)
-        .option("maxFilesPerTrigger", 1)
-        .parquet(f"{folder}/src/*")
-        .withWatermark("event_time", "5 minutes")
-    )
+    read = spark.readStream.schema(schemas.EVENTS).option("maxFilesPerTrigger", 1).parquet(f"{folder}/src/*")
+    return read if watermark is None else read.withWatermark("event_time", watermark)
 
 
 def test_state_with_ttl_equals_batch(spark, folder):
@@ -224,6 +221,33 @@ def test_rolling_activity_over_micro_batches(spark, folder):
     assert same(got.select(*names), want.select(*names))
 
 
+def test_low_volume_is_noticed_without_data(spark, folder):
+    """Busy minutes, a gap over three micro-batches, busy minutes again; a second series is judged by itself."""
+    busy = [event(60 * m + s, "U1", "C1", f"a{m}-{s}") for m in (0, 1, 2, 40, 41, 43, 60, 61, 62, 63, 64, 65, 66) for s in (0, 20, 40)]
+    other = [event(60 * m + 1, "U2", "C1", f"b{m}") for m in (1, 3, 7, 50, 90)]
+    rows = sorted(busy + other, key=lambda r: (r[0], r[5]))
+    batches = [rows[:8], rows[8:12], rows[12:30], rows[30:]]
+    closed = F.col("minute") < F.lit(START + timedelta(minutes=85))
+    got = drain(spark, low_volume_stream(files(spark, folder, batches), 3, F.col("user_id")), folder, "out")
+    for user in ("U1", "U2"):
+        # A batch ends with the last data; a stream goes on, so one more busy event at the end makes them alike.
+        whole = [r for r in rows if r[1] == user] + [event(60 * 90 + 1, user, "C1", "end")]
+        want = low_volume_alarm(frame(spark, whole), 3).filter(closed)
+        mine = got.filter(F.col("series") == user).drop("series").filter(closed)
+        assert want.count() > 10 and same(mine, want)
+
+
+def test_lag_alarm_of_a_stream_equals_batch(spark, folder):
+    rows = [event(60 * m, f"U{m}", "C1", f"e{m}") for m in range(0, 90, 2)]
+    late = F.make_dt_interval(mins=F.pmod(F.xxhash64("event_id"), F.lit(9)).cast("int"))
+    stream = files(spark, folder, [rows[:20], rows[20:]], watermark=None).select("*", (F.col("event_time") + late).alias("processing_time"))
+    got = drain(spark, lag_stream(stream.withWatermark("processing_time", "10 minutes"), 180, 2, 4), folder, "out").drop("series")
+    batch = frame(spark, rows).select("*", (F.col("event_time") + late).alias("processing_time"))
+    closed = F.col("minute") < F.lit(START + timedelta(minutes=75))
+    want = alarm_minutes(minute_lag(batch), F.col("value") >= 180, 2, 4).filter(closed)
+    assert want.count() > 5 and same(got.filter(closed), want)
+
+
 def test_windows_that_do_not_nest_are_copied(spark, folder):
     rows = sorted(skewed_events(60), key=lambda r: (r[0], r[5])) + [event(9 * 86400, "U9", "C9", "end")]
     flagged = files(spark, folder, [rows]).withColumn("is_new_device", F.lit(False))
