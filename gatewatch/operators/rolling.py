@@ -18,39 +18,39 @@ def rolling_activity(events: DataFrame, spans: Mapping[str, int] = SPANS) -> Dat
 
     Both ends of ``[event_time - span, event_time]`` count. A range frame with a
     distinct set would hold and rescan each user's whole window for every event; here
-    events enter and leave as changes along the timeline.
+    counts are differences of running totals: what came up to the event, less what came
+    more than a span before it. A host counts from its first event in a span on, until the
+    span has passed its last one.
 
     The timeline is cut into chunks as long as the longest span, so that a busy user is
     spread over tasks. A chunk also gets the events of the one before it, which is as far
-    as its spans reach: with this one copy all steps work on one layout by (user, chunk).
+    as its spans reach: with this one copy, of place and host only, all steps work on one
+    layout by (user, chunk), two sorts and no join. Without user or time counts are NULL.
     """
     length = max(spans.values()) * _MICROS
     at = F.unix_micros("event_time")
     chunk = F.floor(at / F.lit(length)).cast("long")
-    copies = F.explode(F.array(chunk, chunk + 1)).alias("_chunk")
-    laid = events.select(*PAIR, at.alias("_at"), copies).repartition("user_id", "_chunk")
-    points = laid.groupBy("user_id", "_chunk", "computer_id", "_at").agg(F.count(F.lit(1)).alias("n"))
+    places = F.array(*[F.struct((chunk + n).alias("_chunk"), F.lit(n == 0).alias("_own")) for n in (0, 1)])
+    placed = events.select("*", at.alias("_at"), F.explode(places).alias("_place")).select("*", "_place.*")
+    carried = [F.when(F.col("_own"), F.col(c)).alias(c) for c in events.columns if c not in (*PAIR, "event_time")]
+    laid = placed.select(*PAIR, "_at", "_chunk", "_own", *carried).repartition("user_id", "_chunk")
     along = Window.partitionBy("user_id", "_chunk", "computer_id").orderBy("_at")
-    near = points.withColumns({"_prev": F.lag("_at").over(along), "_next": F.lead("_at").over(along)})
+    near = laid.withColumns({"_prev": F.lag("_at").over(along), "_next": F.lead("_at").over(along)})
 
-    zero = F.lit(0).cast("long")
-    values = [f"{kind}_{label}" for label in spans for kind in ("login_count", "unique_computers")]
-
-    def change(pos, given):
-        return F.struct(pos.alias("_at"), *[given.get(v, zero).alias(v) for v in values])
-
-    arriving, changes = {}, []
+    timeline = Window.partitionBy("user_id", "_chunk").orderBy("_at")
+    upto = timeline.rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    marks, found = {}, {}
     for label, seconds in spans.items():
-        span = F.lit(seconds * _MICROS)
-        enters = (F.col("_prev").isNull() | (F.col("_at") - F.col("_prev") > span)).cast("long")
-        leaves = (F.col("_next").isNull() | (F.col("_next") - F.col("_at") > span)).cast("long")
-        arriving |= {f"login_count_{label}": F.col("n"), f"unique_computers_{label}": enters}
-        departing = {f"login_count_{label}": -F.col("n"), f"unique_computers_{label}": -leaves}
-        changes.append(change(F.col("_at") + span + 1, departing))
-    changes.append(change(F.col("_at"), arriving))
-
-    deltas = near.select("user_id", "_chunk", F.inline(F.array(*changes)))
-    steps = deltas.groupBy("user_id", "_chunk", "_at").agg(*[F.sum(v).alias(v) for v in values])
-    upto = Window.partitionBy("user_id", "_chunk").orderBy("_at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    totals = steps.select("user_id", "_chunk", "_at", *[F.sum(v).over(upto).alias(v) for v in values])
-    return events.withColumns({"_at": at, "_chunk": chunk}).join(totals, ["user_id", "_chunk", "_at"], "left").drop("_at", "_chunk")
+        span = seconds * _MICROS
+        marks[f"_enters_{label}"] = F.col("_prev").isNull() | (F.col("_at") - F.col("_prev") > span)
+        marks[f"_leaves_{label}"] = F.col("_next").isNull() | (F.col("_next") - F.col("_at") > span)
+        behind = timeline.rangeBetween(Window.unboundedPreceding, -span - 1)
+        found[f"login_count_{label}"] = F.count(F.lit(1)).over(upto) - F.count(F.lit(1)).over(behind)
+        present = F.count_if(F.col(f"_enters_{label}")).over(upto) - F.count_if(F.col(f"_leaves_{label}")).over(behind)
+        found[f"unique_computers_{label}"] = present
+    known = F.col("user_id").isNotNull() & F.col("_at").isNotNull()
+    counted = near.withColumns(marks).withColumns(found).filter("_own")
+    columns = ["user_id", *[c for c in events.columns if c != "user_id"]]
+    # The time came along as a number.
+    counted = counted.withColumn("event_time", F.timestamp_micros("_at"))
+    return counted.select(*columns, *[F.when(known, F.col(c)).alias(c) for c in found])

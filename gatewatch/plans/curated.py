@@ -100,7 +100,12 @@ def build_wide(
     """Events with rolling counts, 0/1 indicators, and their score, flags and level."""
     cfg = cfg or PipelineConfig()
     events = clean_events(events, unique)
-    flagged = flag_rare_hosts(flag_new_devices(rolling_activity(events), history, cfg.stream.state_ttl))
+    # Flags come first, so that what finds them reads the events and not the rolling counts.
+    marked = flag_rare_hosts(flag_new_devices(events, history, cfg.stream.state_ttl))
+    rolled = rolling_activity(marked)
+    flags = ["is_new_device", "is_rare_host"]
+    first = ["computer_id", "event_id", "user_id"]
+    flagged = rolled.select(*first, *[c for c in rolled.columns if c not in (*first, *flags)], *flags)
     risk = cfg.risk
     indicators = {
         "is_new_device": F.col("is_new_device"),

@@ -143,6 +143,26 @@ def test_rolling_activity(events, rows):
             assert got[name][f"unique_computers_{label}"] == len({r[3] for r in past})
 
 
+def test_rolling_activity_holds_no_table_of_events(events):
+    """Two sorts of one layout: hash tables and joins took ten times the memory of a task."""
+    plan = rolling_activity(events)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and "Aggregate" not in plan and "Join" not in plan
+
+
+def test_rolling_activity_of_equal_times_and_chunk_ends(spark):
+    """Rows of equal time count one another; a span reaches back over the end of a day, both ends included."""
+    day = 86400
+    rows = [event(day - 3600, event_id="a"), event(day - 3600, host="C2", event_id="b"), event(day - 3600, event_id="c")]
+    rows += [event(day, event_id="d"), event(day + 1, host="C3", event_id="e"), event(2 * day, host="C3", event_id="f")]
+    events = frame(spark, rows).union(frame(spark, [event(5, event_id="g")]).withColumn("user_id", F.lit(None).cast("string")))
+    counts = ["login_count_1h", "unique_computers_1h", "login_count_24h", "unique_computers_24h"]
+    got = {r.event_id: tuple(r[c] for c in counts) for r in rolling_activity(events).collect()}
+    assert got == {
+        "a": (3, 2, 3, 2), "b": (3, 2, 3, 2), "c": (3, 2, 3, 2), "d": (4, 2, 4, 2), "e": (2, 2, 5, 3), "f": (1, 1, 3, 2),
+        "g": (None, None, None, None),
+    }
+
+
 def test_timeline_chunks_change_nothing(spark):
     data = [("k", p, 1) for p in (-25, -3, 0, 4, 9, 10, 11, 39, 40, 41, 99)] + [("j", 5, 2)]
     points = spark.createDataFrame(data, "key string, pos long, v long")
