@@ -1,9 +1,10 @@
 """Per-event rolling activity on a stream: each event is scored as it comes, without waiting for a slot.
 
-State is kept per user as the events of the longest span, in buckets of time. A micro-batch
-reads the buckets its events can reach back to, writes those it adds to, and drops what no
-later event can reach. Counts are differences of places in sorted times; a host counts from
-its first event in the span on, until the span has passed its last one.
+State is kept per user as the events of the longest span, packed into arrays: a micro-batch
+reads and writes it once per user, whatever times it holds, and drops what no later event can
+reach. One timer per user clears the state when its last event is a span behind. Counts are
+differences of places in sorted times; a host counts from its first event in the span on,
+until the span has passed its last one.
 """
 
 from __future__ import annotations
@@ -24,17 +25,15 @@ from gatewatch.operators.rolling import SPANS
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
-_BUCKET = StructType([StructField("bucket", LongType())])
-_POINTS = StructType([StructField("points", BinaryType())])
-#: Buckets of one longest span.
-_BUCKETS = 24
+# When the user's state goes, and its times and hosts in order of time.
+_STATE = StructType([StructField("timer", LongType()), StructField("points", BinaryType())])
+_NAMES = [f.name for f in schemas.EVENTS.fields]
 
 
-def trailing(times: np.ndarray, hosts: np.ndarray, at: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
-    """Events and different hosts in ``[t - span, t]`` for each ``t`` of ``at``; ``times`` ascend."""
+def trailing(times: np.ndarray, codes: np.ndarray, at: np.ndarray, span: int) -> tuple[np.ndarray, np.ndarray]:
+    """Events and different hosts in ``[t - span, t]`` for each ``t`` of ``at``; ``times`` ascend, ``codes`` number hosts."""
     counts = np.searchsorted(times, at, side="right") - np.searchsorted(times, at - span, side="left")
-    codes = np.unique(hosts, return_inverse=True)[1]
-    order = np.lexsort((times, codes))
+    order = np.argsort(codes, kind="stable")
     own, host = times[order], codes[order]
     near = (host[1:] == host[:-1]) & (own[1:] - own[:-1] <= span)
     enters, leaves = np.ones(len(own), bool), np.ones(len(own), bool)
@@ -49,49 +48,45 @@ class RollingActivity(StatefulProcessor):
     def __init__(self, spans: Mapping[str, int]):
         self.spans = {label: seconds * 1_000_000 for label, seconds in spans.items()}
         self.longest = max(self.spans.values())
-        self.width = max(self.longest // _BUCKETS, 1000)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.buckets = handle.getMapState("buckets", _BUCKET, _POINTS)
+        self.state = handle.getValueState("points", _STATE)
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
         batch = pd.concat(list(rows), ignore_index=True)
         at = batch["event_time"].astype("datetime64[us]").astype("int64").to_numpy()
-        hosts = batch["computer_id"].to_numpy().astype("U")
-        times, seen = [at], [hosts]
-        for bucket in range((int(at.min()) - self.longest) // self.width, int(at.max()) // self.width + 1):
-            stored = self.buckets.getValue((bucket,))
-            if stored is not None:
-                known = pickle.loads(stored[0])
-                times.append(known[0])
-                seen.append(known[1])
-        times, seen = np.concatenate(times), np.concatenate(seen)
+        times, hosts = at, batch["computer_id"].to_numpy().astype("U")
+        stored = self.state.get()
+        if stored is not None:
+            known = pickle.loads(stored[1])
+            times, hosts = np.concatenate([known[0], times]), np.concatenate([known[1], hosts])
         order = np.argsort(times, kind="stable")
-        times, seen = times[order], seen[order]
+        times, hosts = times[order], hosts[order]
+        codes = np.unique(hosts, return_inverse=True)[1]
         found = {}
         for label, span in self.spans.items():
-            found[f"login_count_{label}"], found[f"unique_computers_{label}"] = trailing(times, seen, at, span)
-        self._keep(times, seen, at, timerValues.getCurrentWatermarkInMs() * 1000)
-        yield batch[[f.name for f in schemas.EVENTS.fields]].assign(**found)
+            found[f"login_count_{label}"], found[f"unique_computers_{label}"] = trailing(times, codes, at, span)
+        self._keep(times, hosts, None if stored is None else stored[0], timerValues.getCurrentWatermarkInMs())
+        yield batch[_NAMES].assign(**found)
 
-    def _keep(self, times: np.ndarray, hosts: np.ndarray, new: np.ndarray, watermark: int) -> None:
+    def _keep(self, times: np.ndarray, hosts: np.ndarray, timer: int | None, watermark: int) -> None:
         # No event before the watermark is to come, so nothing reaches back beyond a span before it.
-        oldest = (watermark - self.longest) // self.width
-        for bucket in np.unique(new // self.width).tolist():
-            if bucket >= oldest:
-                own = slice(*np.searchsorted(times, [bucket * self.width, (bucket + 1) * self.width]).tolist())
-                self.buckets.updateValue((bucket,), (pickle.dumps((times[own], hosts[own]), protocol=5),))
-                # The bucket goes when the watermark has left it a span behind.
-                self.handle.registerTimer(((bucket + 1) * self.width + self.longest) // 1000 + 1)
+        oldest = int(np.searchsorted(times, watermark * 1000 - self.longest))
+        if oldest == len(times):
+            self.state.clear()
+            return
+        gone = (int(times[-1]) + self.longest) // 1000 + 1
+        if gone != timer:
+            if timer is not None and timer > watermark:
+                self.handle.deleteTimer(timer)
+            self.handle.registerTimer(gone)
+        self.state.update((gone, pickle.dumps((times[oldest:], hosts[oldest:]), protocol=5)))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        bucket = ((expiredTimerInfo.getExpiryTimeInMs() - 1) * 1000 - self.longest) // self.width - 1
-        # Times in milliseconds may fall just short of the bucket's end.
-        for candidate in (bucket, bucket + 1):
-            end = (candidate + 1) * self.width + self.longest
-            if end <= timerValues.getCurrentWatermarkInMs() * 1000 and self.buckets.containsKey((candidate,)):
-                self.buckets.removeKey((candidate,))
+        stored = self.state.get()
+        if stored is not None and stored[0] <= expiredTimerInfo.getExpiryTimeInMs():
+            self.state.clear()
         return iter([])
 
     def close(self) -> None:
