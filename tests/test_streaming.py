@@ -196,6 +196,20 @@ def test_ttl_state_is_forgotten_by_bucket(spark, folder):
     assert "U3" not in users and "U5" in users
 
 
+def test_hosts_of_a_user_are_few_rows_of_state(spark, folder):
+    """Calls to the state follow users, not pairs; pairs of many buckets that expire at once go together."""
+    day = 86400
+    rows = [event(n * 3600, "U1", f"C{n}") for n in range(48)] + [event(n, "U2", f"C{n}") for n in range(30)]
+    batches = [rows, [event(20 * day, "U1", "C1")], [event(21 * day, "U1", "C99")], [event(22 * day, "U1", "C1")]]
+    flat = [r for batch in batches for r in batch]
+    for ttl, most in (("3 days", 2), (None, 8)):
+        place = f"{folder}/{most}"
+        got = drain(spark, flag_new_devices_stream(files(spark, place, batches), shards=4, ttl=ttl), place, "out")
+        assert same(got.select("event_id", "is_new_device"), flag_new_devices(frame(spark, flat), ttl=ttl).select("event_id", "is_new_device"))
+        left = spark.read.format("statestore").option("stateVarName", "pairs").load(f"{place}/c_out")
+        assert 0 < left.count() <= most
+
+
 def test_many_rows_of_few_pairs_pass_through(spark, folder):
     """Rows of a shard come in several portions; the earliest event of a pair may be in any of them."""
     limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
