@@ -94,19 +94,25 @@ def _by_label(hops: list[HopSpec], value) -> Column:
     return chosen
 
 
-def _aligned_features(events: DataFrame, hops: list[HopSpec], history: DataFrame | None) -> DataFrame:
+def laid_by_day(hops: list[HopSpec]) -> bool:
+    """Whether the steps of all windows can be cut at the ends of days."""
+    return all(h.aligned and h.steps > 1 and 86400 % h.slide == 0 for h in hops)
+
+
+def _aligned_features(events: DataFrame, hops: list[HopSpec], history: DataFrame | None, by_day: bool = False) -> DataFrame:
     width = min(hop.slide for hop in hops)
     changes = [c for hop in hops for c in _hop_changes(hop, width)]
     deltas = _pair_slots(events, width, history).select("user_id", F.inline(F.array(*changes)))
     steps = running_totals(
         deltas, ["user_id", "window_size"], "slot", ["event_count", "unique_hosts", "new_hosts"]
     )
-    # A step with events in it is never longer than one window, so this stays small.
-    windows = steps.filter(F.col("event_count") > 0).withColumn(
-        "slot", F.explode(F.sequence(F.col("slot"), F.col("next") - 1))
-    )
     slide = _by_label(hops, lambda hop: hop.slide)
     reach = _by_label(hops, lambda hop: hop.steps - 1)
+    steps = steps.filter(F.col("event_count") > 0).withColumn("last", F.col("next") - 1)
+    if by_day:
+        steps = _cut_by_day(steps, _by_label(hops, lambda hop: 86400 // hop.slide), reach)
+    # A step with events in it is never longer than one window, so this stays small.
+    windows = steps.withColumn("slot", F.explode(F.sequence("slot", "last")))
     return windows.select(
         F.timestamp_seconds((F.col("slot") - reach) * slide).alias("window_start"),
         F.timestamp_seconds((F.col("slot") + 1) * slide).alias("window_end"),
@@ -118,6 +124,19 @@ def _aligned_features(events: DataFrame, hops: list[HopSpec], history: DataFrame
     )
 
 
+def _cut_by_day(steps: DataFrame, per_day: Column, reach: Column) -> DataFrame:
+    """Steps cut where their windows begin on another day, and dealt by that day and the window size.
+
+    A step stands for several windows, so a table of windows is laid out for its partitions
+    before there are that many rows.
+    """
+    first, last = (F.floor((F.col(c) - reach) / per_day).cast("long") for c in ("slot", "last"))
+    cut = steps.withColumn("_day", F.explode(F.sequence(first, last)))
+    begins = F.col("_day") * per_day + reach
+    cut = cut.withColumns({"slot": F.greatest("slot", begins), "last": F.least("last", begins + per_day - 1)})
+    return cut.hint("rebalance", "_day", "window_size")
+
+
 def _tumbling_features(events: DataFrame, hop: HopSpec, history: DataFrame | None) -> DataFrame:
     rows = _pair_slots(events, hop.slide, history)
     return (
@@ -161,8 +180,14 @@ def _general_features(events: DataFrame, hop: HopSpec) -> DataFrame:
     )
 
 
-def window_features(events: DataFrame, hops: list[HopSpec], history: DataFrame | None = None) -> DataFrame:
-    """One row per user and window that holds at least one of the user's events."""
+def window_features(
+    events: DataFrame, hops: list[HopSpec], history: DataFrame | None = None, by_day: bool = False
+) -> DataFrame:
+    """One row per user and window that holds at least one of the user's events.
+
+    ``by_day`` deals rows out by the day they begin on and their size, where ``laid_by_day`` allows it.
+    """
+    by_day = by_day and laid_by_day(hops)
     tumbling = [h for h in hops if h.steps == 1 and h.aligned]
     sliding = [h for h in hops if h.steps > 1 and h.aligned]
     general = [h for h in hops if not h.aligned]
@@ -170,8 +195,8 @@ def window_features(events: DataFrame, hops: list[HopSpec], history: DataFrame |
     if sliding:
         finest = min(h.slide for h in sliding)
         nested = [h for h in sliding if h.slide % finest == 0]
-        parts.append(_aligned_features(events, nested, history))
-        parts += [_aligned_features(events, [h], history) for h in sliding if h not in nested]
+        parts.append(_aligned_features(events, nested, history, by_day))
+        parts += [_aligned_features(events, [h], history, by_day) for h in sliding if h not in nested]
     if general:
         if "is_new_device" not in events.columns:
             raise ValueError("windows that are no multiple of their slide need is_new_device")

@@ -64,11 +64,12 @@ def build_features(
     cfg: PipelineConfig | None = None,
     history: DataFrame | None = None,
     unique: bool = False,
+    by_day: bool = False,
 ) -> DataFrame:
-    """Rows of the feature table: both window lengths."""
+    """Rows of the feature table: both window lengths; ``by_day`` as in ``window_features``."""
     cfg = cfg or PipelineConfig()
     events, history = mark_expiring(clean_events(events, unique), cfg, history)
-    return window_features(events, [cfg.hour_hop, cfg.day_hop], history)
+    return window_features(events, [cfg.hour_hop, cfg.day_hop], history, by_day)
 
 
 def build_curated(

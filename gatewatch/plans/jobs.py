@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from gatewatch import schemas
 from gatewatch.config import PipelineConfig, TablePaths
 from gatewatch.functions.times import before_day, event_date, within, within_days
+from gatewatch.operators.features import laid_by_day
 from gatewatch.operators.firstseen import seen_pairs
 from gatewatch.operators.rollups import host_popularity_daily, host_risk_daily, user_behavior_hourly, user_risk_hourly
 from gatewatch.plans import kpis
@@ -145,11 +146,12 @@ def backfill_features(
     cfg = cfg or PipelineConfig()
     prepare(spark)
     events, history = _events_and_history(spark, tables, start, end + reach(cfg), stored_history)
-    rows = build_features(events, cfg, history=history, unique=True).filter(within("window_start", start, end))
+    laid = laid_by_day([cfg.hour_hop, cfg.day_hop])
+    rows = build_features(events, cfg, history=history, unique=True, by_day=laid).filter(within("window_start", start, end))
     rows = rows.withColumn("event_date", event_date("window_start"))
     sizes = [cfg.hour_hop.label, cfg.day_hop.label]
     refresh_days(
-        rows.select(*schemas.FEATURES_STORED.names), tables.features, ["event_date", "window_size"], start, end, below={"window_size": sizes}
+        rows.select(*schemas.FEATURES_STORED.names), tables.features, ["event_date", "window_size"], start, end, below={"window_size": sizes}, laid=laid
     )
 
 

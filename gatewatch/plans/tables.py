@@ -135,6 +135,7 @@ def refresh_days(
     start: date,
     end: date,
     below: dict[str, str | list[str]] | None = None,
+    laid: bool = False,
 ) -> None:
     """Replace the days ``[start, end)`` of a table with ``df``, however often it is run.
 
@@ -142,6 +143,7 @@ def refresh_days(
     column. Days that ``df`` fills are swapped in one commit; days it leaves empty
     would survive a dynamic overwrite, so their partitions are dropped afterwards.
     ``below`` names the values of further partition columns that the refresh owns.
+    ``laid`` says that ``df`` comes dealt out by the partitions already.
     """
     spark = df.sparkSession
     _require_batch_table(spark, path)
@@ -150,7 +152,7 @@ def refresh_days(
         owned = [f"{folder}/{column}={value}" for folder in owned for value in ([values] if isinstance(values, str) else values)]
     before = {folder: _first_file(spark, folder) for folder in owned}
     (
-        balanced(df, partitions)
+        (df if laid else balanced(df, partitions))
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*partitions)

@@ -48,6 +48,15 @@ def test_both_window_lengths_in_one_table(events, rows):
     assert as_windows(tumbling.filter("window_size = '24h'")) == windows(rows, 86400, 86400)
 
 
+def test_windows_are_dealt_by_day_before_they_are_written_out(events):
+    whole = window_features(events, [HOUR_HOP, DAY_HOP])
+    dealt = window_features(events, [HOUR_HOP, DAY_HOP], by_day=True)
+    assert as_windows(dealt.filter("window_size = '1h'")) == as_windows(whole.filter("window_size = '1h'"))
+    assert dealt.exceptAll(whole).isEmpty() and whole.exceptAll(dealt).isEmpty()
+    plan = dealt._jdf.queryExecution().optimizedPlan().toString()
+    assert 0 <= plan.index("Generate explode(sequence(slot") < plan.index("RebalancePartitions")
+
+
 def test_flags_given_with_the_events_are_used(events, rows):
     none_new = window_features(events.withColumn("is_new_device", F.lit(False)), [HOUR_HOP])
     assert not any(flag for _, _, flag in as_windows(none_new).values())
