@@ -201,23 +201,26 @@ def _likely_partners(frame: pd.DataFrame, percent: int) -> Iterator[tuple[int, n
 
 
 def _across(members: DataFrame, docs: DataFrame, percent: int, size: int) -> DataFrame:
-    """Links between nodes of different components of a bucket: enough of them to connect what is linked.
+    """Links between different components that share a bucket: enough of them to connect what is linked.
 
     Sketches of the blocks of each bucket are held against one another first. Nodes with a
     likely partner then meet with their full sets; each task keeps only links that join
     what its earlier links have not, so neither step gives more rows than it has nodes.
+    ``members`` should be cut. Returns ``a`` and ``b``, components whose nodes are linked.
     """
     kind = members.schema["node"].dataType.simpleString()
 
     def flag(frame: pd.DataFrame) -> pd.DataFrame:
         found = {x for i, at, _ in _likely_partners(frame, percent) for x in (i, *at.tolist())}
-        return frame.iloc[sorted(found)][["band", "key", "node"]]
+        return frame.iloc[sorted(found)][list(columns)]
 
     places = ["band", "key", "low", "high"]
-    flagged = cut(_blocked(members).groupBy(*places).applyInPandas(flag, f"band int, key long, node {kind}").distinct())
+    columns = {"band": "int", "key": "long", "node": kind, "component": kind, "n_shingles": "long", "sketch": "array<bigint>"}
+    schema = ", ".join(f"{c} {of}" for c, of in columns.items())
+    flagged = cut(_blocked(members).groupBy(*places).applyInPandas(flag, schema).dropDuplicates(["band", "key", "node"]))
     wanted = cut(flagged.select(F.col("node").alias("wanted")).distinct())
     sets = _node_sets(docs, wanted, size).select(F.col("doc_id").alias("node"), "shingles")
-    likely = _blocked(members.join(flagged, ["band", "key", "node"], "left_semi")).join(sets, "node")
+    likely = _blocked(flagged).join(sets, "node")
 
     def link(frame: pd.DataFrame) -> pd.DataFrame:
         joined = {c: c for c in frame.component}
@@ -227,7 +230,7 @@ def _across(members: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
                 c = joined[c]
             return c
 
-        sets, node, component = frame.shingles.to_list(), frame.node.to_list(), frame.component.to_list()
+        sets, component = frame.shingles.to_list(), frame.component.to_list()
         out = []
         for i, at, _ in _likely_partners(frame, percent):
             at = [j for j in at.tolist() if root(component[j]) != root(component[i])]
@@ -240,7 +243,7 @@ def _across(members: DataFrame, docs: DataFrame, percent: int, size: int) -> Dat
             for j, close in zip(at, shared * 100 >= (len(own) + sizes - shared) * percent, strict=True):
                 if close and root(component[j]) != root(component[i]):
                     joined[root(component[j])] = root(component[i])
-                    out.append((node[i], node[j]))
+                    out.append((component[i], component[j]))
         return pd.DataFrame(out, columns=["a", "b"])
 
     return likely.groupBy(*places).applyInPandas(link, f"a {kind}, b {kind}")
@@ -279,19 +282,21 @@ def near_duplicates(docs: DataFrame, percent: int = 80, shingle_words: int = 5)
     members = cut(banded.join(buckets, ["band", "key"]))
     stars = members.where("node <> centre").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct()
     links = cut(_confirmed(_likely(stars, nodes, percent), docs, percent, shingle_words).unionByName(ties))
-    found = components(links)
+    found = small_side(components(links), 24)
 
-    placed = members.join(small_side(cut(found), 24), F.col("node") == F.col("id"), "left")
+    placed = members.join(found, F.col("node") == F.col("id"), "left")
     placed = placed.select("band", "key", "node", F.coalesce("component", "node").alias("component"))
     spread = placed.groupBy("band", "key").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count(F.lit(1)).alias("n"))
     # Two nodes, a star of one arm: already compared.
     open_buckets = spread.where("x <> y and n > 2").select("band", "key")
     rest = placed.join(open_buckets, ["band", "key"], "left_semi").join(nodes.select("node", "n_shingles", "sketch"), "node")
-    more = cut(_across(rest, docs, percent, shingle_words))
-    final = found if more.isEmpty() else components(links.unionByName(more))
-    final = small_side(cut(final), 24)
-    of_row = sketched.join(nodes.drop("sketch"), same, "left").join(final, F.col("node") == F.col("id"), "left")
-    own = F.when(F.col("n_shingles") > 0, F.coalesce("component", "node")).otherwise(F.col("doc_id"))
+    more = cut(_across(cut(rest), docs, percent, shingle_words))
+    of_row = sketched.join(nodes.drop("sketch"), same, "left").join(found, F.col("node") == F.col("id"), "left").drop("id")
+    of_row = of_row.withColumn("component", F.coalesce("component", "node"))
+    if not more.isEmpty():
+        merged = small_side(components(more).withColumnRenamed("component", "whole"), 24)
+        of_row = of_row.join(merged, F.col("component") == F.col("id"), "left").withColumn("component", F.coalesce("whole", "component"))
+    own = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("doc_id"))
     component = F.when(F.col("doc_id").isNotNull(), own)
     return of_row.select("doc_id", "n_shingles", component.alias("component_id"), (F.col("doc_id").isNull() | (F.col("doc_id") == component)).alias("kept"))
 
