@@ -9,6 +9,10 @@ and are not looked at again.
 
 Tokens of one group are linked with one another. Over the corpus, a pair of ids counts the
 documents in which it is linked.
+
+Before that, texts are encoded. Tokens of neither side reach over a word's end into the
+space behind it, so words met before are not encoded again, and new ones are encoded side
+by side as one text. Alignment is of whole texts.
 """
 
 from __future__ import annotations
@@ -16,13 +20,13 @@ from __future__ import annotations
 import hashlib
 import json
 import os
+import re
 from collections.abc import Iterator
 from functools import cache
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,8 +37,12 @@ from gatewatch.llm.words import ranges, slices
 #: Bytes of a row of the table of pairs where it is broadcast (key, count, mark, and the hash table around them).
 PAIR_BYTES = 48
 
-#: Fixed value: how a byte-level file cuts texts into pieces.
-_PATTERN = regex.compile(r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+""")
+#: Words of a text behind a space: each ends before a space that follows no white space; white space at the end of the text stays at the last.
+_WORD = re.compile(r" (\s*\S+(?:[^\S ]\s*\S*| +\Z)*|\s*)")
+#: White space before a space that may belong to the same token.
+_ODD_SPACE = re.compile(r"[^\S ] ")
+#: Texts with this character or later ones are encoded whole: what is white space there depends on the version of the character tables.
+_BEYOND_LATIN = "\u0250"
 
 
 def _byte_alphabet() -> dict[str, int]:
@@ -47,10 +55,7 @@ def _byte_alphabet() -> dict[str, int]:
 class ByteSide:
     """A byte-level BPE file of the ``tokenizers`` library; texts are encoded with a space before them.
 
-    The file's first step cuts a text into pieces that are encoded each on its own. Texts of
-    Latin letters are cut by the same pattern here, and pieces met before are not encoded
-    again. Other scripts go through the library whole, since what counts as a letter there
-    depends on the version of the character tables.
+    ``can_cut`` tells whether the file's first step always cuts between a word and the space behind it.
     """
 
     def __init__(self, path: str):
@@ -63,7 +68,7 @@ class ByteSide:
             first = json.load(file)
         own = first["pre_tokenizer"]
         self.can_cut = first["normalizer"] is None and own["type"] == "ByteLevel" and own["use_regex"] and not own["add_prefix_space"]
-        self.known = Recent()
+        self.can_cut &= all(t["special"] for t in first["added_tokens"])
         alphabet, special = _byte_alphabet(), {i: t.content for i, t in self.library.get_added_tokens_decoder().items()}
         self.tokens = [b""] * (max(self.library.get_vocab().values()) + 1)
         for token, i in self.library.get_vocab().items():
@@ -71,34 +76,23 @@ class ByteSide:
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids (int32) of texts."""
-        pieces: list[list[str] | None] = []
-        for text in texts:
-            pieces.append(_PATTERN.findall(f" {text}") if self.can_cut and (text.isascii() or max(text) < "\u0250") else None)
-        new = self.known.missing(chain.from_iterable(own for own in pieces if own))
-        self.known.learn({p: _int32(e.ids) for p, e in zip(new, self.library.encode_batch_fast(new, add_special_tokens=False), strict=True)} if new else {})
-        known = self.known.young
-        found = []
-        for text, own in zip(texts, pieces, strict=True):
-            if own is None:
-                found.append(np.array(self.library.encode_batch_fast([f" {text}"], add_special_tokens=False)[0].ids, np.int32))
-            else:
-                found.append(np.frombuffer(b"".join([known[p] for p in own]), np.int32))
-        self.known.tidy()
-        return found
-
-
-def _int32(ids: list[int]) -> bytes:
-    return np.array(ids, np.int32).tobytes()
+        return [np.array(e.ids, np.int32) for e in self.library.encode_batch_fast([f" {t}" for t in texts], add_special_tokens=False)]
 
 
 class PieceSide:
-    """A ``sentencepiece`` model, which puts the space before a text itself."""
+    """A ``sentencepiece`` model, which puts the space before a text itself.
+
+    ``can_cut`` tells whether characters of Latin texts stay as they are and no piece has a space behind another character.
+    """
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.library = sentencepiece.SentencePieceProcessor(model_file=path)
         self.tokens = [self._bytes(i) for i in range(self.library.get_piece_size())]
+        latin = f"  {' '.join(map(chr, range(ord(_BEYOND_LATIN))))}  "
+        self.can_cut = self.library.normalize(latin) == f" {latin}".replace(" ", "▁")
+        self.can_cut &= all(b" " not in t.lstrip(b" ") for t in self.tokens)
 
     def _bytes(self, i: int) -> bytes:
         piece = self.library.id_to_piece(i)
@@ -109,7 +103,7 @@ class PieceSide:
 
 
 class Side:
-    """Token ids of texts, kept only where their bytes are those of the text."""
+    """Token ids of texts or words, with the bytes of each token."""
 
     def __init__(self, library: ByteSide | PieceSide):
         self.library, self.tokens = library, library.tokens
@@ -122,6 +116,93 @@ class Side:
         tokens = self.tokens
         return b"".join([tokens[i] for i in ids.tolist()]) == text
 
+    def encode_words(self, words: list[str], sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray] | None:
+        """Ids of words, none of which ends in white space, and how many each has; None if they can't be told apart.
+
+        Words are encoded side by side; ``sizes`` are their bytes with the space before.
+        """
+        text = " ".join(words)
+        (ids,) = self.encode([text])
+        if not self.covers(ids, f" {text}".encode()):
+            return None
+        ends, word_ends = np.cumsum(self.lengths[ids]), np.cumsum(sizes)
+        last = np.searchsorted(ends, word_ends)
+        return (ids, np.diff(last, prepend=-1)) if (ends[last] == word_ends).all() else None
+
+
+def words_of(text: str) -> list[str]:
+    """Words of a text with what precedes them but one space; joined by spaces, they are the text."""
+    if text[:1] == " " or text[-1:].isspace() or "  " in text or _ODD_SPACE.search(text):
+        return _WORD.findall(f" {text}")
+    return text.split(" ")
+
+
+def _records(a: np.ndarray, count_a: np.ndarray, b: np.ndarray, count_b: np.ndarray) -> list[bytes]:
+    """Ids of both sides (int32) of each word in one: how many A has, A's, B's."""
+    sizes = 1 + count_a + count_b
+    ends = np.cumsum(sizes)
+    starts, held = ends - sizes, np.empty(int(sizes.sum()), np.int32)
+    held[starts], held[ranges(starts + 1, count_a)], held[ranges(starts + 1 + count_a, count_b)] = count_a, a, b
+    raw = held.tobytes()
+    return [raw[lo:hi] for lo, hi in zip((starts * 4).tolist(), (ends * 4).tolist(), strict=True)]
+
+
+class Both:
+    """Encoder of Latin texts by two sides, which remembers words; other texts are encoded whole."""
+
+    def __init__(self, one: Side, two: Side):
+        self.one, self.two = one, two
+        self.can_cut = one.library.can_cut and two.library.can_cut
+        self.known = Recent()
+
+    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Ids of texts on one side after another and how many each text has, then those of the other side.
+
+        There are none if the text is empty or one side's tokens don't spell a space and the text.
+        """
+        cut_up = [words_of(t) if t and self.can_cut and (t.isascii() or max(t) < _BEYOND_LATIN) else [] for t in texts]
+        self.known.learn(self._learn_words(self.known.missing(chain.from_iterable(cut_up))))
+        known = self.known.young
+        records = [known[w] for words in cut_up for w in words]
+        self.known.tidy()
+        # A side's ids of words, and their number in each text.
+        held = np.frombuffer(b"".join(records), np.int32)
+        sizes = np.array([len(r) for r in records], np.int64) // 4
+        odd, starts = sizes == 0, np.cumsum(sizes) - sizes
+        count_a = np.zeros(len(sizes), np.int64)
+        count_a[~odd] = held[starts[~odd]]
+        count_b = sizes - count_a - ~odd
+        a, b = (held[ranges(begin, count)].astype(np.int64) for begin, count in ((starts + 1, count_a), (starts + 1 + count_a, count_b)))
+        text_ends = np.cumsum([len(words) for words in cut_up])
+        in_texts = [np.diff(np.concatenate([[0], np.cumsum(count)])[text_ends], prepend=0) for count in (count_a, count_b)]
+        whole = {n for n, words in enumerate(cut_up) if texts[n] and not words} | set(np.searchsorted(text_ends, np.flatnonzero(odd), side="right").tolist())
+        if not whole:
+            return a, in_texts[0], b, in_texts[1]
+        own = zip(*(np.split(side, np.cumsum(count)[:-1]) for side, count in zip((a, b), in_texts, strict=True)), strict=True)
+        pairs = [self._whole(texts[n]) if n in whole else pair for n, pair in enumerate(own)]
+        return *_flat([a for a, _ in pairs]), *_flat([b for _, b in pairs])
+
+    def _whole(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        (a,), (b,), spelled = self.one.encode([text]), self.two.encode([text]), f" {text}".encode()
+        nothing = np.zeros(0, np.int32)
+        return (a, b) if self.one.covers(a, spelled) and self.two.covers(b, spelled) else (nothing, nothing)
+
+    def _learn_words(self, words: list[str]) -> dict[str, bytes]:
+        """Records of words; empty ones for words whose texts must be encoded whole."""
+        learned = dict.fromkeys(words, b"")
+        single, close = [w for w in words if w[-1].isspace()], [w for w in words if not w[-1].isspace()]
+        sizes = np.array([1 + len(w.encode()) for w in close], np.int64)
+        a, b = (side.encode_words(close, sizes) for side in (self.one, self.two)) if close else (None, None)
+        if a and b:
+            learned |= zip(close, _records(*a, *b), strict=True)
+        else:
+            single += close
+        for word in single:
+            a, b = self._whole(word)
+            if len(a):
+                learned[word] = _records(a, np.array([len(a)]), b, np.array([len(b)]))[0]
+        return learned
+
 
 @cache
 def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
@@ -129,6 +210,12 @@ def sides(path_a: str, path_b: str) -> tuple[Side, Side]:
     return Side(ByteSide(path_a)), Side(PieceSide(path_b))
 
 
+@cache
+def both(path_a: str, path_b: str) -> Both:
+    """Both tokenizers and the words they remember, once per worker process."""
+    return Both(*sides(path_a, path_b))
+
+
 def shared_cuts(ends_a: np.ndarray, ends_b: np.ndarray, last_a: np.ndarray) -> np.ndarray:
     """Places in ``ends_a`` whose value is also in ``ends_b``; both ascend strictly.
 
@@ -193,15 +280,9 @@ def _counted(group: np.ndarray, ids: np.ndarray, wide: int) -> tuple[np.ndarray,
 class Aligned:
     """Tokens and groups of some texts as flat arrays; ``ends_a`` and ``ends_b`` run on over texts."""
 
-    def __init__(self, texts: list[str], one: Side, two: Side):
-        nothing = np.zeros(0, np.int32)
-        pairs = [
-            (a, b) if t and one.covers(a, s := f" {t}".encode()) and two.covers(b, s) else (nothing, nothing)
-            for t, a, b in zip(texts, one.encode(texts), two.encode(texts), strict=True)
-        ]
-        self.a, self.count_a = _flat([p[0] for p in pairs])
-        self.b, self.count_b = _flat([p[1] for p in pairs])
-        ends_a, ends_b = np.cumsum(one.lengths[self.a]), np.cumsum(two.lengths[self.b])
+    def __init__(self, texts: list[str], own: Both):
+        self.a, self.count_a, self.b, self.count_b = own.encode(texts)
+        ends_a, ends_b = np.cumsum(own.one.lengths[self.a]), np.cumsum(own.two.lengths[self.b])
         cuts_a = shared_cuts(ends_a, ends_b, np.cumsum(self.count_a[self.count_a > 0]) - 1)
         self.groups = _per_text(cuts_a, self.count_a)
         self.ends_a, self.ends_b = cuts_a + 1, np.searchsorted(ends_b, ends_a[cuts_a]) + 1
@@ -258,12 +339,12 @@ def _written(most: int) -> np.ndarray:
 
 def _each_slice(batches: Iterator[pa.RecordBatch], path_a: str, path_b: str) -> Iterator[tuple[pa.Array, Aligned]]:
     """Ids of documents and their alignment, a slice of texts at a time."""
-    one, two = sides(path_a, path_b)
+    own = both(path_a, path_b)
     for batch in batches:
         column = batch.column("text")
         for lo, hi, _, _ in slices(column):
             texts = [t or "" for t in column.slice(lo, hi - lo).to_pylist()]
-            yield batch.column("doc_id").slice(lo, hi - lo), Aligned(texts, one, two)
+            yield batch.column("doc_id").slice(lo, hi - lo), Aligned(texts, own)
 
 
 def align(docs: DataFrame, path_a: str, path_b: str) -> DataFrame:

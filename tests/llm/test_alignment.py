@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -121,3 +122,46 @@ def test_query_over_the_whole_table(spark, sf_dir):
 
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text").collect()]
     assert sorted(map(tuple, op11_alignment(spark, sf_dir).collect()), key=str) == brute(rows)
+
+
+def odd_texts(count):
+    rng = random.Random(5)
+    return [" ", "  ", "\n", "end ", "end  ", "end\n", "end \n", "end\n  ", "a \n b", "a\n b", "a   b", " a", "  a", "\na\n\n\nb", "x \xa0 y", "x\x1c y", ""] + [
+        "".join(rng.choices(["word", "Été", "it's", "12", "中", ".", ",", " ", " ", " ", "\n", "\t", "\r", "\xa0", "\x85", "\x1d"], [9, 3, 3, 3, 0.3, 3, 3, 9, 9, 9, 3, 1, 2, 1, 1, 1], k=rng.randint(1, 25)))
+        for _ in range(count)
+    ]
+
+
+def test_words_of_a_text_are_the_text():
+    for text in odd_texts(3000):
+        words = alignment.words_of(text)
+        assert " ".join(words) == text
+        assert words == alignment._WORD.findall(f" {text}")
+
+
+@pytest.mark.parametrize("told_apart", [True, False])
+def test_ids_by_words_are_those_of_whole_texts(told_apart, monkeypatch):
+    one, two = alignment.sides(A, B)
+    assert one.library.can_cut and two.library.can_cut
+    if not told_apart:
+        monkeypatch.setattr(alignment.Side, "encode_words", lambda self, words, sizes: None)
+    texts, nothing = odd_texts(1500), np.zeros(0, np.int32)
+    pairs = [(one.encode([t])[0], two.encode([t])[0]) if t else (nothing, nothing) for t in texts]
+    pairs = [(a, b) if one.covers(a, f" {t}".encode()) and two.covers(b, f" {t}".encode()) else (nothing, nothing) for t, (a, b) in zip(texts, pairs, strict=True)]
+    own = alignment.Both(one, two)
+    for _ in range(2):  # words new, then known
+        for at in range(0, len(texts), 500):
+            got, want = own.encode(texts[at : at + 500]), pairs[at : at + 500]
+            assert [x.tolist() for x in got] == [x.tolist() for side in zip(*want, strict=True) for x in alignment._flat(list(side))]
+
+
+def test_words_met_before_are_not_encoded_again(monkeypatch):
+    given = []
+    for kind in (alignment.ByteSide, alignment.PieceSide):
+        monkeypatch.setattr(kind, "encode", lambda self, texts, f=kind.encode: given.extend(texts) or f(self, texts))
+    rng = random.Random(6)
+    texts = [" ".join(rng.choices([f"met{i}before," for i in range(50)], k=40)) for _ in range(100)]
+    batch = pa.RecordBatch.from_pydict({"doc_id": list(range(100)), "text": texts})
+    ((_, own),) = alignment._each_slice(iter([batch]), A, B)
+    assert own.groups.min() >= 40
+    assert sum(map(len, given)) < sum(map(len, texts)) / 10
